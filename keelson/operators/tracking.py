@@ -108,8 +108,13 @@ def on_day(df: DataFrame, day: str | dt.date, col: str = "end_time") -> DataFram
     d = dt.date.fromisoformat(day) if isinstance(day, str) else day
     start = dt.datetime(d.year, d.month, d.day)
     end = start + dt.timedelta(days=1)
+    # Literals of the column's own type, so no cast wraps the column and the
+    # range reaches the Parquet reader as pushed filters.
+    ctype = dict(df.dtypes)[col]
+    lo = F.lit(start.isoformat(" ")).cast(ctype)
+    hi = F.lit(end.isoformat(" ")).cast(ctype)
     c = F.col(col)
-    return df.filter((c >= F.lit(start)) & (c < F.lit(end)))
+    return df.filter((c >= lo) & (c < hi))
 
 
 def best_run(df: DataFrame, metric_col: str, key: str = "run_id") -> DataFrame:

@@ -59,7 +59,7 @@ def runs_v(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("experiment_id"),
         F.col("o_orderpriority").alias("run_name"),
         status.alias("status"),
-        F.col("o_orderdate").cast("timestamp").alias("end_time"),
+        F.col("o_orderdate").alias("end_time"),
         F.col("o_totalprice").alias("metric"),
     )
 
