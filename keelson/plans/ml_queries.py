@@ -222,27 +222,24 @@ def q_roundtrip_model(spark, sf):
 def q_csv_roundtrip(spark, sf):
     """A1 + A4: write the scored table as CSV with a header, read it back
     with an explicit schema (no inference pass)."""
+    from keelson.sources import files as FL
+
     path = S.work_dir(spark, "csv")
-    pr = TB.pred(spark, sf).select(*CFG.keys, "prediction")
-    pr.write.mode("overwrite").option("header", True).csv(path)
+    FL.write_predictions_csv(TB.pred(spark, sf), CFG.keys, path)
     schema = "l_orderkey long, l_linenumber int, ship_epoch long, l_partkey long, l_suppkey long, prediction double"
-    return spark.read.csv(path, header=True, schema=schema)
+    return FL.read_csv(spark, path, schema)
 
 
 def q_table_overwrite(spark, sf):
-    """A3: replace a saved table with a new version computed from it. The
-    new version is staged in its own folder first (Spark refuses to
-    overwrite a table it is reading)."""
+    """A3: replace a saved table with a new version computed from itself
+    (staged first: Spark refuses to overwrite a table it is reading)."""
     from keelson.operators.profile import strict_drop
+    from keelson.sources import files as FL
 
-    base = S.work_dir(spark, "tables")
+    path = S.work_dir(spark, "tables") + "/fish_cleaned"
     cleaned = strict_drop(TB.reg(spark, sf), "l_returnflag", "l_linestatus")
-    cleaned.write.mode("overwrite").parquet(f"{base}/fish_cleaned")
-    current = spark.read.parquet(f"{base}/fish_cleaned")
-    staged = f"{base}/fish_cleaned__staged"
-    current.withColumn("charge", F.round("charge", 2)).write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(f"{base}/fish_cleaned")
-    return spark.read.parquet(f"{base}/fish_cleaned")
+    current = FL.overwrite_table(spark, cleaned, path)
+    return FL.overwrite_table(spark, current.withColumn("charge", F.round("charge", 2)), path)
 
 
 def q_train_all(spark, sf):

@@ -378,6 +378,16 @@ SELECT {sql_bin('charge', 'lo', 'hi', TVP_BINS)} AS truth_bin, {sql_bin('predict
   count(*) AS n FROM p, mm GROUP BY 1, 2"""
 
 
+def q_residual_hist(spark, sf):
+    _prep(spark)
+    return EV.residual_histogram(TB.pred(spark, sf), TB.TARGET, "prediction", TVP_BINS)
+
+
+SQL_RESIDUAL_HIST = f"""WITH r AS (SELECT prediction - charge AS residual FROM ({PRED_SQL})),
+mm AS (SELECT min(residual) AS lo, max(residual) AS hi FROM r)
+SELECT {sql_bin('residual', 'lo', 'hi', TVP_BINS)} AS bin, count(*) AS n FROM r, mm GROUP BY 1"""
+
+
 # --- G: search tables ----------------------------------------------------------
 
 def _trial_space(spark, sf, params, per_family=False):
@@ -808,6 +818,7 @@ SQL_QUERIES: dict[str, tuple[SparkQuery, str]] = {
     "eval_adjusted_r2": (q_eval_adjusted_r2, SQL_EVAL_ADJUSTED_R2),
     "residuals": (q_residuals, SQL_RESIDUALS),
     "truth_vs_pred_bins": (q_truth_vs_pred_bins, SQL_TRUTH_VS_PRED_BINS),
+    "residual_hist": (q_residual_hist, SQL_RESIDUAL_HIST),
     "space_grid": (q_space_grid, SQL_SPACE_GRID),
     "space_random": (q_space_random, SQL_SPACE_RANDOM),
     "trial_best": (q_trial_best, SQL_TRIAL_BEST),

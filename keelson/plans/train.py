@@ -80,9 +80,11 @@ def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, st
     run_name = RUN_NAMES[family]
     seed = cfg.seed
 
+    keeper = SR.BestModel()
+
     def _search():
         return SR.search(spark, family, s.train, s.test, cfg.features, cfg.target, max_evals,
-                         parallelism=parallelism, seed=seed, space=space, budget=budget)
+                         parallelism=parallelism, seed=seed, space=space, budget=budget, keeper=keeper)
 
     if store is not None:
         with store.start_run(experiment, run_name) as r:
@@ -96,7 +98,7 @@ def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, st
 
     def _refit(run=None):
         model, spec, scored = SR.refit_and_score(family, params, s.train, s.test, cfg.features, cfg.target,
-                                                 seed=seed, budget=budget)
+                                                 seed=seed, budget=budget, keeper=keeper)
         scored = scored.select(*cfg.keys, cfg.target, "prediction").persist()
         m = EV.regression_metrics(scored, cfg.target, "prediction", len(cfg.features)).first().asDict()
         m["n_train"] = s.train.count()

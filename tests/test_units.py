@@ -193,3 +193,20 @@ def test_candidate_already_staged_is_not_its_own_rival(spark):
     v = _vs(spark, [("m", 1, "r1"), ("m", 2, "r2")])
     ev = _ev(spark, [("m", 1, "Staging", _ts(1), 1), ("m", 2, "Staging", _ts(2), 2)])
     assert _events(spark, v, ev, _m(spark, [("r1", 0.3), ("r2", 0.1)]), 2) == [(1, "Archived"), (2, "Staging")]
+
+
+def test_csv_with_bom_and_staged_overwrite(spark, tmp_path):
+    from keelson.sources import files as FL
+
+    p = tmp_path / "fish.csv"
+    p.write_bytes("﻿Species,Weight,Length1\nBream,242,23.2\nRoach,0,19.0\n".encode("utf-8"))
+    df = FL.read_csv(spark, str(p), "Species string, Weight double, Length1 double")
+    assert df.columns == ["Species", "Weight", "Length1"]
+    assert [r["Species"] for r in df.collect()] == ["Bream", "Roach"]
+    inferred = FL.read_csv(spark, str(p), infer=True)
+    assert inferred.columns[0] == "Species"
+    out = str(tmp_path / "t")
+    FL.overwrite_table(spark, df, out)
+    cur = spark.read.parquet(out)
+    again = FL.overwrite_table(spark, cur.withColumn("Weight", F.col("Weight") + 1), out)
+    assert sorted(r["Weight"] for r in again.collect()) == [1.0, 243.0]
