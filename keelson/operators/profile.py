@@ -14,7 +14,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.exprs import pearson, safe_div
+from keelson.functions.exprs import safe_div
 from keelson.operators.evaluate import bin_expr, min_max
 
 
@@ -96,32 +96,75 @@ def pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
             .groupBy("x_col", "y_col", "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("n")))
 
 
+PAIRS_PER_AGGREGATE = 15  # 6 sum buffers per pair: stays under spark.sql.codegen.maxFields (100)
+
+
+def _pair_sums(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame | None:
+    """One row of centred sums for ``pairs`` (rows where both sides are present).
+
+    Pass 1 (one aggregate, scalars to the driver): the pairwise-complete
+    means. Pass 2: n, Σdx, Σdy, Σdx·dy, Σdx², Σdy² of the centred values.
+    Plain sums keep the aggregate inside whole-stage codegen (covar_pop /
+    stddev_pop need far more buffer fields and fall back to the interpreted
+    path), and centring keeps the sums free of cancellation."""
+    both = [F.col(a).isNotNull() & F.col(b).isNotNull() for a, b in pairs]
+    mrow = df.agg(*[F.avg(F.when(both[i], F.col(a))).alias(f"ma_{i}") for i, (a, _) in enumerate(pairs)],
+                  *[F.avg(F.when(both[i], F.col(b))).alias(f"mb_{i}") for i, (_, b) in enumerate(pairs)]).first()
+    aggs = []
+    for i, (a, b) in enumerate(pairs):
+        ma = 0.0 if mrow[f"ma_{i}"] is None else float(mrow[f"ma_{i}"])
+        mb = 0.0 if mrow[f"mb_{i}"] is None else float(mrow[f"mb_{i}"])
+        dx = F.when(both[i], F.col(a) - F.lit(ma))
+        dy = F.when(both[i], F.col(b) - F.lit(mb))
+        aggs += [F.count(dx).alias(f"n_{i}"), F.sum(dx).alias(f"sx_{i}"), F.sum(dy).alias(f"sy_{i}"),
+                 F.sum(dx * dy).alias(f"sxy_{i}"), F.sum(dx * dx).alias(f"sxx_{i}"), F.sum(dy * dy).alias(f"syy_{i}")]
+    return df.agg(*aggs)
+
+
+def _pair_r(i: int) -> Column:
+    n = F.col(f"n_{i}")
+    cxy = F.col(f"sxy_{i}") - F.col(f"sx_{i}") * F.col(f"sy_{i}") / n
+    cxx = F.col(f"sxx_{i}") - F.col(f"sx_{i}") * F.col(f"sx_{i}") / n
+    cyy = F.col(f"syy_{i}") - F.col(f"sy_{i}") * F.col(f"sy_{i}") / n
+    # NULL for a constant column (zero spread) instead of a division error
+    return safe_div(cxy, F.sqrt(F.greatest(cxx, F.lit(0.0)) * F.greatest(cyy, F.lit(0.0))))
+
+
+def pearson_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Pearson r per pair in long form (col_a, col_b, r), pairwise complete.
+    Pairs are processed in chunks of :data:`PAIRS_PER_AGGREGATE`."""
+    pairs = list(pairs)
+    out = None
+    for k in range(0, len(pairs), PAIRS_PER_AGGREGATE):
+        chunk = pairs[k:k + PAIRS_PER_AGGREGATE]
+        sums = _pair_sums(df, chunk)
+        rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), _pair_r(i).cast("double").alias("r"))
+                for i, (a, b) in enumerate(chunk)]
+        part = sums.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson matrix in long form (col_a, col_b, r), all ordered pairs.
 
-    One aggregate computes every upper-triangle pair; NULL r for a constant
-    column instead of a division error."""
+    Pairwise complete (rows NULL in either column are skipped, like pandas);
+    NULL r for a constant column instead of a division error; the diagonal is
+    1 for a column that varies."""
     cols = list(cols)
-    pairs = list(combinations(range(len(cols)), 2))
-    one = df.agg(*[pearson(F.col(cols[i]), F.col(cols[j])).alias(f"r_{i}_{j}") for i, j in pairs],
-                 *[F.stddev_pop(c).alias(f"sd_{i}") for i, c in enumerate(cols)])
-    entries = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if i == j:
-                r = F.when(F.col(f"sd_{i}") > 0, F.lit(1.0))
-            else:
-                lo, hi = min(i, j), max(i, j)
-                r = F.col(f"r_{lo}_{hi}")
-            entries.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r.cast("double").alias("r")))
-    return one.select(F.explode(F.array(*entries)).alias("s")).select("s.*")
+    pairs = [(cols[i], cols[j]) for i, j in combinations(range(len(cols)), 2)]
+    long = pearson_pairs(df, pairs + [(c, c) for c in cols])
+    off = long.filter(F.col("col_a") != F.col("col_b"))
+    mirrored = off.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r")
+    diag = (long.filter(F.col("col_a") == F.col("col_b"))
+            .select("col_a", "col_b", F.when(F.col("r").isNotNull(), F.lit(1.0)).alias("r")))
+    return off.unionByName(mirrored).unionByName(diag)
 
 
 def target_correlation(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
     """Correlation of each feature with the target, strongest first."""
     cols = [c for c in cols if c != target]
-    one = df.agg(*[pearson(F.col(c), F.col(target)).alias(f"r_{i}") for i, c in enumerate(cols)])
-    out = _long_form(one, cols, ["r"])
+    out = pearson_pairs(df, [(c, target) for c in cols]).select(F.col("col_a").alias("column"), "r")
     # Rank on a bounded frame (one row per feature).
     ranked = out.select("column", "r", F.abs("r").alias("abs_r"))
     w_rank = F.expr("rank() OVER (ORDER BY abs(r) DESC NULLS LAST, column)")

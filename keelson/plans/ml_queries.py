@@ -248,7 +248,7 @@ def q_train_all(spark, sf):
     S.prepare(spark)
     res, _ = TN.train_all(spark, TB.reg(spark, sf), CFG, store, "train", max_evals=2, parallelism=2,
                           spaces=QUICK_SPACES, budget=QUICK_BUDGET)
-    return TN.leaderboard(res.drop("seconds"))
+    return TN.leaderboard(res.drop("seconds", "phases"))
 
 
 ML_QUERIES = {

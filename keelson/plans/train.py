@@ -50,6 +50,15 @@ def make_splits(df: DataFrame, cfg: RunConfig, drop: Sequence[str] = (), persist
     training = training.select(*cols)
     train, test = SP.split_pair(training, cfg.keys, cfg.test_size, SP.HOLDOUT_SALT)
     if persist:
+        # Every trial scans these frames many times (one pass per tree level
+        # or boosting round). An input with fewer partitions than the
+        # cluster has cores (one small file) would leave cores idle in every
+        # pass, so spread it once, by row key, before caching. Inputs that
+        # are already wide keep their layout (no shuffle).
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if train.rdd.getNumPartitions() < cores:
+            train = train.repartition(cores, *cfg.keys)
+            test = test.repartition(max(1, cores // 2), *cfg.keys)
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
         test = test.persist(StorageLevel.MEMORY_AND_DISK)
     return Splits(training, validation.select(*cols), train, test)
@@ -69,6 +78,7 @@ class FamilyResult:
     trials: int
     seconds: float
     flags: dict = field(default_factory=dict)
+    phases: dict = field(default_factory=dict)
 
 
 def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, store: TrackingStore | None,
@@ -86,12 +96,14 @@ def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, st
         return SR.search(spark, family, s.train, s.test, cfg.features, cfg.target, max_evals,
                          parallelism=parallelism, seed=seed, space=space, budget=budget, keeper=keeper)
 
+    phases = {}
     if store is not None:
         with store.start_run(experiment, run_name) as r:
             trials = _search().persist()
             r.log_metric("n_trials", trials.count())
     else:
         trials = _search().persist()
+    phases["search"] = time.monotonic() - t0
     from keelson.config import search_space_rows
     params = SR.best_params(trials, family, search_space_rows(family, space))
     n_trials = trials.count()
@@ -102,6 +114,7 @@ def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, st
         scored = scored.select(*cfg.keys, cfg.target, "prediction").persist()
         m = EV.regression_metrics(scored, cfg.target, "prediction", len(cfg.features)).first().asDict()
         m["n_train"] = s.train.count()
+        phases["refit_eval"] = time.monotonic() - t0 - phases["search"]
         if run is not None:
             run.log_params(params)
             for k, v in spec.flags.items():
@@ -136,7 +149,10 @@ def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, st
     else:
         m, flags = _refit()
     trials.unpersist()
-    return FamilyResult(family, run_id, params, m, n_trials, time.monotonic() - t0, flags)
+    total = time.monotonic() - t0
+    phases["track"] = total - phases["search"] - phases.get("refit_eval", 0.0)
+    return FamilyResult(family, run_id, params, m, n_trials, total, flags,
+                        {k: round(v, 2) for k, v in phases.items()})
 
 
 def train_all(spark: SparkSession, df: DataFrame, cfg: RunConfig, store: TrackingStore | None,
@@ -162,10 +178,12 @@ def train_all(spark: SparkSession, df: DataFrame, cfg: RunConfig, store: Trackin
         with store.start_run(experiment, "Pipeline") as r:
             r.log_metric("processing_seconds", elapsed)
     rows = [(r.family, r.run_id, float(r.metrics["mse"]), r.metrics["rmse"], r.metrics["r2"],
-             r.metrics["r2_adj"], r.metrics["mape"], int(r.metrics["n"]), int(r.trials), float(r.seconds))
+             r.metrics["r2_adj"], r.metrics["mape"], int(r.metrics["n"]), int(r.trials), float(r.seconds),
+             {k: float(v) for k, v in r.phases.items()})
             for r in results]
     out = spark.createDataFrame(rows, "family string, run_id string, mse double, rmse double, r2 double, "
-                                      "r2_adj double, mape double, n_test long, n_trials long, seconds double")
+                                      "r2_adj double, mape double, n_test long, n_trials long, seconds double, "
+                                      "phases map<string,double>")
     return out, elapsed
 
 
