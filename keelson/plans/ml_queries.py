@@ -157,12 +157,14 @@ def q_tune_refit(spark, sf):
     s = _splits(spark, sf)
     try:
         space = QUICK_SPACES["xgboost"]
+        keeper = SR.BestModel()
         trials = SR.search(spark, "xgboost", s.train, s.test, CFG.features, CFG.target, max_evals=3,
-                           parallelism=3, seed=CFG.seed, space=space, algo="random")
+                           parallelism=3, seed=CFG.seed, space=space, algo="random", budget=QUICK_BUDGET,
+                           keeper=keeper)
         from keelson.config import search_space_rows
         params = SR.best_params(trials, "xgboost", search_space_rows("xgboost", space))
         model, spec, scored = SR.refit_and_score("xgboost", params, s.train, s.test, CFG.features, CFG.target,
-                                                 seed=CFG.seed, budget=QUICK_BUDGET)
+                                                 seed=CFG.seed, budget=QUICK_BUDGET, keeper=keeper)
         m = EV.regression_metrics(scored, CFG.target, "prediction", len(CFG.features)).first()
     finally:
         TN.release(s)

@@ -23,13 +23,23 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return reader.csv(path)
 
 
+def _norm_path(p: str) -> str:
+    """Scheme-free, single-slash form: 'file:///a/b', 'file:/a/b' and '/a/b'
+    are the same local path."""
+    import re
+
+    p = re.sub(r"^file:", "", p)
+    p = re.sub(r"^/+", "/", p)
+    return p.rstrip("/")
+
+
 def _reads_from(df: DataFrame, path: str) -> bool:
-    target = path.rstrip("/")
+    target = _norm_path(path)
     try:
         files = df.inputFiles()
     except Exception:
-        return False
-    return any(target in f for f in files)
+        return True  # unknown: stage to be safe
+    return any(_norm_path(f) == target or _norm_path(f).startswith(target + "/") for f in files)
 
 
 def overwrite_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:

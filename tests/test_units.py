@@ -210,3 +210,9 @@ def test_csv_with_bom_and_staged_overwrite(spark, tmp_path):
     cur = spark.read.parquet(out)
     again = FL.overwrite_table(spark, cur.withColumn("Weight", F.col("Weight") + 1), out)
     assert sorted(r["Weight"] for r in again.collect()) == [1.0, 243.0]
+
+
+def test_path_normalisation():
+    from keelson.sources.files import _norm_path
+
+    assert _norm_path("file:///tmp/a/b/") == _norm_path("file:/tmp/a/b") == _norm_path("/tmp/a/b")
