@@ -154,11 +154,14 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cols = list(cols)
     pairs = [(cols[i], cols[j]) for i, j in combinations(range(len(cols)), 2)]
     long = pearson_pairs(df, pairs + [(c, c) for c in cols])
-    off = long.filter(F.col("col_a") != F.col("col_b"))
-    mirrored = off.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r")
-    diag = (long.filter(F.col("col_a") == F.col("col_b"))
-            .select("col_a", "col_b", F.when(F.col("r").isNotNull(), F.lit(1.0)).alias("r")))
-    return off.unionByName(mirrored).unionByName(diag)
+    a, b, r = F.col("col_a"), F.col("col_b"), F.col("r")
+    # one pass over the pair rows: (a, b) and (b, a) off the diagonal,
+    # 1 (or NULL for a constant column) on it
+    both_ways = F.array(F.struct(a.alias("col_a"), b.alias("col_b"), r.alias("r")),
+                        F.struct(b.alias("col_a"), a.alias("col_b"), r.alias("r")))
+    diagonal = F.array(F.struct(a.alias("col_a"), b.alias("col_b"),
+                                F.when(r.isNotNull(), F.lit(1.0)).alias("r")))
+    return long.select(F.explode(F.when(a == b, diagonal).otherwise(both_ways)).alias("s")).select("s.*")
 
 
 def target_correlation(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:

@@ -78,10 +78,20 @@ def dedup_params(params: DataFrame) -> DataFrame:
 
 def runs_wide(runs: DataFrame, metrics: DataFrame, metric_keys: Sequence[str] = METRIC_KEYS,
               ties: Sequence[str] = (), params: DataFrame | None = None,
-              param_keys: Sequence[str] = ()) -> DataFrame:
+              param_keys: Sequence[str] = (), selective: bool = False) -> DataFrame:
     """H6: one row per run with ``metric_<key>`` (and ``param_<key>``)
     columns. The pivot has explicit values: one conditional aggregate per
-    key, no extra pass to discover keys."""
+    key, no extra pass to discover keys.
+
+    ``selective=True`` when ``runs`` is a small, filtered set (one day, one
+    experiment): the metric log is first semi-joined to those run ids, so
+    only their rows are aggregated (the planner broadcasts the id list when
+    its measured size allows, otherwise it shuffles)."""
+    if selective:
+        ids = runs.select("run_id")
+        metrics = metrics.join(ids, "run_id", "left_semi")
+        if params is not None:
+            params = params.join(ids, "run_id", "left_semi")
     lm = latest_metrics(metrics.filter(F.col("key").isin(list(metric_keys))), ties)
     wide = lm.groupBy("run_id").pivot("key", list(metric_keys)).agg(F.max("value"))
     wide = wide.select("run_id", *[F.col(k).alias(f"metric_{k}") for k in metric_keys])
@@ -214,10 +224,15 @@ class TrackingStore:
             run.flush()
 
     # queries over the store
-    def search_runs(self, experiment_id: int, metric_keys=METRIC_KEYS, param_keys=()) -> DataFrame:
-        runs = self.table("runs").filter(F.col("experiment_id") == experiment_id)
-        return runs_wide(runs, self.table("run_metrics"), metric_keys,
-                         params=self.table("run_params"), param_keys=param_keys)
+    def search_runs(self, experiment_id: int, metric_keys=METRIC_KEYS, param_keys=(),
+                    runs: DataFrame | None = None) -> DataFrame:
+        """H6 over the store; ``runs`` may pre-filter the experiment's runs
+        (e.g. B3/B4), which then restricts the metric scan too."""
+        exp_runs = self.table("runs").filter(F.col("experiment_id") == experiment_id)
+        if runs is not None:
+            exp_runs = runs(exp_runs) if callable(runs) else runs
+        return runs_wide(exp_runs, self.table("run_metrics"), metric_keys,
+                         params=self.table("run_params"), param_keys=param_keys, selective=True)
 
     def artifact_uri(self, run_id: str, path: str) -> str | None:
         row = (latest_by(self.table("run_artifacts").filter((F.col("run_id") == run_id) & (F.col("path") == path)),

@@ -583,7 +583,7 @@ SQL_RUNS_ORDERED = f"SELECT * FROM ({SQL_RUNS_WIDE}) ORDER BY metric_MAPE ASC NU
 def q_runs_finished_day(spark, sf):
     _prep(spark)
     runs = TR.on_day(TR.finished(TB.runs_v(spark, sf).drop("metric")), FINISHED_DAY)
-    wide = TR.runs_wide(runs, TB.metrics_v(spark, sf), METRIC_KEYS, ties=["tie1", "tie2"])
+    wide = TR.runs_wide(runs, TB.metrics_v(spark, sf), METRIC_KEYS, ties=["tie1", "tie2"], selective=True)
     return _wide_out(wide)
 
 

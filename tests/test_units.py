@@ -216,3 +216,12 @@ def test_path_normalisation():
     from keelson.sources.files import _norm_path
 
     assert _norm_path("file:///tmp/a/b/") == _norm_path("file:/tmp/a/b") == _norm_path("/tmp/a/b")
+
+
+def test_clamped_configs_are_one_trial():
+    from keelson.operators.search import spark_key
+
+    a = spark_key("random_forest", {"max_depth": 40, "n_estimators": 5}, ["x"], "y")
+    b = spark_key("random_forest", {"max_depth": 100, "n_estimators": 5}, ["x"], "y")
+    c = spark_key("random_forest", {"max_depth": 20, "n_estimators": 5}, ["x"], "y")
+    assert a == b and a != c
