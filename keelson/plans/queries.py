@@ -94,11 +94,6 @@ def _prep(spark: SparkSession) -> None:
     S.prepare(spark)
 
 
-def _labeled_reg(spark, sf):
-    """reg with the nested split column (C4): train / test / validation."""
-    return SP.nested_split(TB.reg(spark, sf), KEY)
-
-
 # --- A / B: sources, cleaning ----------------------------------------------------
 
 def q_clean_drop_category(spark, sf):
