@@ -86,3 +86,33 @@ def work_dir(spark: SparkSession, name: str = "work") -> str:
     elif "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (Hadoop FileSystem, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_partitions(spark: SparkSession, total_input_bytes: int, target_bytes: int = 128 << 20,
+                    max_split_bytes: int = 256 << 20) -> int:
+    """Size shuffles and scans for the data at hand.
+
+    Shuffle partitions ≈ input / 128 MiB (at least 2 × cores), so each reduce
+    task's share fits executor memory and spills rarely; AQE then coalesces
+    small ones to the same advisory size and splits skewed ones. Scan splits
+    are capped at 256 MiB. At 100 TB this gives ~800k initial shuffle
+    partitions before coalescing; at sf0.1 it gives 2 × cores."""
+    cores = spark.sparkContext.defaultParallelism
+    n = max(2 * cores, -(-total_input_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(min(max_split_bytes, max(target_bytes, 1 << 20))))
+    return n

@@ -225,3 +225,17 @@ def test_clamped_configs_are_one_trial():
     b = spark_key("random_forest", {"max_depth": 100, "n_estimators": 5}, ["x"], "y")
     c = spark_key("random_forest", {"max_depth": 20, "n_estimators": 5}, ["x"], "y")
     assert a == b and a != c
+
+
+def test_partition_sizing(spark):
+    from keelson.session import input_bytes, size_partitions
+
+    b = input_bytes(spark, ["/root/testdata/sf0.001/lineitem.parquet"])
+    assert b > 0
+    cores = spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_partitions(spark, b) == 2 * cores
+        assert size_partitions(spark, 100 * (1 << 40)) == 100 * (1 << 40) // (128 << 20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
