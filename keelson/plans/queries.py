@@ -714,8 +714,10 @@ def _comparison(spark, sf, cutoff: str | None = None):
     st = TB.stages_v(spark, sf)
     if cutoff:
         st = st.filter(F.col("ts") < F.lit(cutoff).cast("timestamp"))
+    # versions feed the stage join, the candidate pick and the candidate
+    # exclusion: aggregate the stage log once and reuse it
     versions = (TB.stages_v(spark, sf).groupBy("name", "version").agg(F.min("ts").alias("created_at"))
-                .withColumn("run_id", F.col("version")))
+                .withColumn("run_id", F.col("version"))).persist()
     vs = RG.versions_with_stage(versions, st)
     # candidate: the most recently registered version of each name
     cand = TR.latest_by(versions, ["name"], ["created_at", "version"], ["version", "run_id"])
