@@ -11,7 +11,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------------------
-# FIXED VALUES (kept equal to the original configuration)
+# FIXED VALUES (kept equal to the original configuration; the registered
+# model name is our own)
 # ---------------------------------------------------------------------------
 
 MODEL_CONFIG = {
@@ -19,7 +20,7 @@ MODEL_CONFIG = {
     "COMPARISON_METRIC": "MAPE",
     "TEST_SIZE": 0.2,
     "MAX_EVALS": 10,
-    "REGISTER_MODEL_NAME": "Artefact_Meetup",
+    "REGISTER_MODEL_NAME": "tabular_regressor",
     "PARALELISM": 1,
 }
 

@@ -202,6 +202,16 @@ class TrackingStore:
             (self.spark.createDataFrame(rows, self.TABLES[name]).coalesce(1)
              .write.mode("append").parquet(self.path(name)))
 
+    def compact(self, name: str, target_bytes: int = 128 << 20) -> DataFrame:
+        """Rewrite an append-only table into files of about ``target_bytes``
+        (each run appends a small file). Staged, because the table is read
+        while it is rewritten."""
+        from keelson.session import input_bytes
+        from keelson.sources.files import overwrite_table
+
+        n_files = max(1, -(-input_bytes(self.spark, [self.path(name)]) // target_bytes))
+        return overwrite_table(self.spark, self.table(name).repartition(n_files), self.path(name))
+
     def create_experiment(self, name: str) -> int:
         eid = experiment_id_for(name)
         if self.table("experiments").filter(F.col("experiment_id") == eid).limit(1).count() == 0:

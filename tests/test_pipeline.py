@@ -56,3 +56,14 @@ def test_failed_run_is_recorded(spark, tmp_path):
     row = store.table("runs").first()
     assert row["status"] == "FAILED"
     assert store.table("run_params").count() == 1
+
+
+def test_compact_keeps_rows(spark, tmp_path):
+    store = TrackingStore(spark, str(tmp_path / "track"))
+    for i in range(3):
+        with store.start_run("e", f"r{i}") as r:
+            r.log_metric("MAPE", 0.1 * i)
+    before = sorted(tuple(x) for x in store.table("run_metrics").select("run_id", "key", "value").collect())
+    store.compact("run_metrics")
+    after = sorted(tuple(x) for x in store.table("run_metrics").select("run_id", "key", "value").collect())
+    assert before == after and len(after) == 3
