@@ -193,21 +193,15 @@ DEFAULTS = {
     },
 }
 
-SEEDS = {
-    "extra_trees": RANDOM_FOREST_FIXED_MODEL_CONFIG["RANDOM_STATE"],
-    "xgboost": XGBOOST_FIXED_MODEL_CONFIG["SEED"],
-    "random_forest": RANDOM_FOREST_FIXED_MODEL_CONFIG["RANDOM_STATE"],
-    "lightgbm": LGBM_FIXED_MODEL_CONFIG["SEED"],
-}
-
-
 @dataclass
 class RunConfig:
     """Driver-side settings of one training / selection cycle."""
 
     target: str = "charge"
     features: list[str] = field(default_factory=lambda: ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
-    keys: list[str] = field(default_factory=lambda: ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    # row key of the regression table (without the ship date it repeats)
+    keys: list[str] = field(default_factory=lambda: ["l_orderkey", "l_linenumber", "ship_epoch", "l_partkey",
+                                                     "l_suppkey"])
     comparison_metric: str = MODEL_CONFIG["COMPARISON_METRIC"]
     test_size: float = MODEL_CONFIG["TEST_SIZE"]
     max_evals: int = MODEL_CONFIG["MAX_EVALS"]
