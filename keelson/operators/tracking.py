@@ -182,8 +182,14 @@ class TrackingStore:
               "run_metrics": METRICS, "run_artifacts": ARTIFACTS}
 
     def __init__(self, spark: SparkSession, root: str):
+        import threading
+
         self.spark = spark
         self.root = root.rstrip("/")
+        # Appends from concurrent runs (threads of one driver) are serialised:
+        # two jobs committing into one folder at once can remove each other's
+        # temporary files.
+        self._lock = threading.RLock()
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -199,8 +205,9 @@ class TrackingStore:
 
     def append(self, name: str, rows: list[tuple]) -> None:
         if rows:
-            (self.spark.createDataFrame(rows, self.TABLES[name]).coalesce(1)
-             .write.mode("append").parquet(self.path(name)))
+            with self._lock:
+                (self.spark.createDataFrame(rows, self.TABLES[name]).coalesce(1)
+                 .write.mode("append").parquet(self.path(name)))
 
     def compact(self, name: str, target_bytes: int = 128 << 20) -> DataFrame:
         """Rewrite an append-only table into files of about ``target_bytes``
@@ -214,8 +221,9 @@ class TrackingStore:
 
     def create_experiment(self, name: str) -> int:
         eid = experiment_id_for(name)
-        if self.table("experiments").filter(F.col("experiment_id") == eid).limit(1).count() == 0:
-            self.append("experiments", [(eid, name, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))])
+        with self._lock:
+            if self.table("experiments").filter(F.col("experiment_id") == eid).limit(1).count() == 0:
+                self.append("experiments", [(eid, name, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))])
         return eid
 
     @contextmanager
@@ -295,7 +303,7 @@ class Run:
 
     def log_model(self, model, name: str) -> str:
         """A5: save a PipelineModel under the run and record its location."""
-        uri = self.artifact_dir(name)
+        uri = self.artifact_dir(name)  # unique per run: safe to write concurrently
         model.write().overwrite().save(uri)
         self.log_artifact(name, uri)
         return uri

@@ -166,18 +166,27 @@ def train_all(spark: SparkSession, df: DataFrame, cfg: RunConfig, store: Trackin
               experiment: str = "train", families: Sequence[str] = ("extra_trees", "xgboost", "random_forest",
                                                                      "lightgbm"),
               max_evals: int | None = None, parallelism: int | None = None, spaces: dict | None = None,
-              budget: M.Budget | None = None, drop: Sequence[str] = ()) -> tuple[DataFrame, float]:
+              budget: M.Budget | None = None, drop: Sequence[str] = (),
+              family_parallelism: int = 1) -> tuple[DataFrame, float]:
     """J1 + J3: every family on one cached split; results as one table
     (``unionByName`` of per-family rows) and the elapsed seconds, which is
-    also logged as a metric of a pipeline run."""
+    also logged as a metric of a pipeline run.
+
+    ``family_parallelism`` families are searched at once (each with
+    ``parallelism`` concurrent trials). Default 1: at sf0.1 on 8 cores,
+    2 families × 2 trials took 455 s against 415 s for 1 × 4 (40 trials)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     t0 = time.monotonic()
     s = make_splits(df, cfg, drop)
-    results = []
+
+    def one(fam):
+        return train_family(spark, fam, s, cfg, store, experiment, max_evals or cfg.max_evals,
+                            parallelism or cfg.parallelism, (spaces or {}).get(fam), budget)
+
     try:
-        for fam in families:
-            results.append(train_family(spark, fam, s, cfg, store, experiment,
-                                        max_evals or cfg.max_evals, parallelism or cfg.parallelism,
-                                        (spaces or {}).get(fam), budget))
+        with ThreadPoolExecutor(max_workers=max(1, family_parallelism)) as pool:
+            results = list(pool.map(one, families))
     finally:
         release(s)
     elapsed = time.monotonic() - t0
