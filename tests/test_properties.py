@@ -93,3 +93,32 @@ def test_promotion_store_invariants(spark, tmp_path):
     assert [r["version"] for r in staged] == [2]
     stages = {r["version"]: r["stage"] for r in reg.versions("m").collect()}
     assert stages == {1: "Archived", 2: "Staging", 3: "None"}
+
+
+rows_strategy = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.integers(0, 3),
+                                   st.floats(-5, 5, allow_nan=False)), min_size=1, max_size=40)
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=rows_strategy)
+def test_latest_by_matches_pandas(spark, rows):
+    import pandas as pd
+
+    from keelson.operators.tracking import latest_by
+
+    df = spark.createDataFrame(rows, "k long, ts long, tie long, value double")
+    got = {r["k"]: r["value"] for r in latest_by(df, ["k"], ["ts", "tie"], ["value"]).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "ts", "tie", "value"]).sort_values(["k", "ts", "tie", "value"])
+    want = pdf.groupby("k").tail(1).set_index("k")["value"].to_dict()
+    assert got == want
+
+
+@settings(max_examples=4, deadline=None)
+@given(sizes=st.lists(st.integers(1, 300), min_size=1, max_size=4), parts=st.integers(1, 9))
+def test_row_number_within_any_skew(spark, sizes, parts):
+    rows = [(f"g{g}", i, float((i * 7919) % 101)) for g, n in enumerate(sizes) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, k long, v double")
+    got = row_number_within(df, ["g"], ["v", "k"], num_partitions=parts)
+    want = df.withColumn("rn_w", F.row_number().over(Window.partitionBy("g").orderBy("v", "k")))
+    assert got.join(want, ["g", "k"]).filter(F.col("rn") != F.col("rn_w")).count() == 0
+    assert got.count() == len(rows)

@@ -239,3 +239,47 @@ def test_partition_sizing(spark):
         assert size_partitions(spark, 100 * (1 << 40)) == 100 * (1 << 40) // (128 << 20)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_grid_over_configured_space(spark):
+    from keelson.config import RANDOM_FOREST_TEMPLATE_SPACE
+    from keelson.operators import search as SR
+
+    sp = SR.space_table(spark, "random_forest", RANDOM_FOREST_TEMPLATE_SPACE)
+    g = SR.grid(sp, "random_forest")
+    sizes = [len(v[1]) for v in RANDOM_FOREST_TEMPLATE_SPACE.values()]
+    assert g.count() == math.prod(sizes)
+    assert g.select("grid_id").distinct().count() == math.prod(sizes)
+    assert g.filter(F.col("max_depth").isNull()).count() == math.prod(sizes) // 6  # the None choice
+
+
+def test_random_draws_wide_and_dedupe(spark):
+    from keelson.operators import search as SR
+
+    space = {"a": ("choice", [1, 2]), "b": ("choice", ["x"]), "u": ("uniform", 0.0, 1.0)}
+    sp = SR.space_table(spark, "f", space)
+    long = SR.random_candidates(sp, "f", 50, seed=7)
+    wide = SR.to_wide(long, ["a", "b", "u"])
+    assert wide.count() == 50
+    us = [float(r["u"]) for r in wide.collect()]
+    assert all(0.0 <= u < 1.0 for u in us)
+    ded = SR.dedupe_candidates(wide.drop("u"), ["a", "b"])
+    assert ded.count() == 2  # two distinct configurations without the uniform parameter
+
+
+def test_residual_summary(spark):
+    import numpy as np
+
+    df = spark.createDataFrame([(float(i), float(i) + (i % 5) - 2) for i in range(1000)], "y double, p double")
+    r = EV.residual_summary(df, "y", "p").first()
+    res = np.array([(i % 5) - 2 for i in range(1000)], dtype=float)
+    assert math.isclose(r["mean"], res.mean(), abs_tol=1e-12)
+    assert r["p05"] == -2.0 and r["p50"] == 0.0 and r["p95"] == 2.0
+
+
+def test_next_versions_after_existing(spark):
+    existing = spark.createDataFrame([("m", 1, "r0", None, _ts(0)), ("m", 2, "r1", None, _ts(1))], RG.VERSIONS)
+    new = spark.createDataFrame([("m", "r3", None, _ts(5)), ("m", "r2", None, _ts(3)), ("n", "q", None, _ts(2))],
+                                "name string, run_id string, source_uri string, created_at timestamp")
+    got = sorted((r["name"], r["version"], r["run_id"]) for r in RG.next_versions(existing, new).collect())
+    assert got == [("m", 3, "r2"), ("m", 4, "r3"), ("n", 1, "q")]
