@@ -31,8 +31,9 @@ from keelson.sources import tables as TB
 CFG = RunConfig(keys=TB.LINEITEM_KEY)
 QUICK_BUDGET = M.Budget(max_trees=20, max_depth=8)
 
-# Reduced search spaces for checks and benchmarks (subsets of the original
-# choice lists, with tree counts small enough for one machine).
+# Reduced search spaces for checks and benchmarks: the original parameters
+# and kinds, with tree counts and depths cut down to what one machine can fit
+# quickly (several of these values are not in the original choice lists).
 QUICK_SPACES = {
     "random_forest": {
         "bootstrap": ("choice", [True, False]),
