@@ -92,12 +92,19 @@ def bin_expr(x: Column, lo: float, hi: float, bins: int) -> Column:
     return F.least(b, F.lit(bins - 1))
 
 
-def min_max(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """One aggregate pass; only 2×len(cols) scalars reach the driver."""
-    row = df.agg(*[F.min(c).alias(f"mn_{i}") for i, c in enumerate(cols)],
-                 *[F.max(c).alias(f"mx_{i}") for i, c in enumerate(cols)]).first()
-    return {c: (float(row[f"mn_{i}"]), float(row[f"mx_{i}"])) for i, c in enumerate(cols)
-            if row[f"mn_{i}"] is not None}
+def min_max(df: DataFrame, cols: Sequence[str], per_pass: int = 45) -> dict[str, tuple[float, float]]:
+    """Bounds of each column; only 2×len(cols) scalars reach the driver.
+    One aggregate per ``per_pass`` columns keeps the buffer under the
+    whole-stage-codegen field limit."""
+    cols = list(cols)
+    out: dict[str, tuple[float, float]] = {}
+    for k in range(0, len(cols), per_pass):
+        chunk = cols[k:k + per_pass]
+        row = df.agg(*[F.min(c).alias(f"mn_{i}") for i, c in enumerate(chunk)],
+                     *[F.max(c).alias(f"mx_{i}") for i, c in enumerate(chunk)]).first()
+        out.update({c: (float(row[f"mn_{i}"]), float(row[f"mx_{i}"])) for i, c in enumerate(chunk)
+                    if row[f"mn_{i}"] is not None})
+    return out
 
 
 def truth_vs_pred_bins(df: DataFrame, label: str, prediction: str, bins: int = 20) -> DataFrame:

@@ -44,27 +44,43 @@ def _long_form(row_df: DataFrame, names: Sequence[str], value_cols: Sequence[str
     return row_df.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
 
+CODEGEN_FIELDS = 90  # aggregate buffer fields per aggregate, under spark.sql.codegen.maxFields (100)
+
+
+def _per_column(df: DataFrame, cols: Sequence[str], aggs_for, value_cols: Sequence[str],
+                fields_per_col: int) -> DataFrame:
+    """Long form (column, values…) of per-column aggregates, computed in
+    chunks of columns small enough that each aggregate stays inside
+    whole-stage codegen; chunks are unioned (one scan each)."""
+    cols = list(cols)
+    step = max(1, CODEGEN_FIELDS // fields_per_col)
+    out = None
+    for k in range(0, len(cols), step):
+        chunk = cols[k:k + step]
+        one = df.agg(*[a for i, c in enumerate(chunk) for a in aggs_for(c, i)])
+        part = _long_form(one, chunk, value_cols)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def missing_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """NULL (or NaN for floating columns) cells per column."""
     cols = list(cols or df.columns)
     types = dict(df.dtypes)
-    aggs = []
-    for i, c in enumerate(cols):
+
+    def aggs(c, i):
         cond = F.col(c).isNull()
         if types[c] in ("double", "float"):
             cond = cond | F.isnan(c)
-        aggs.append(F.count_if(cond).alias(f"n_missing_{i}"))
-    aggs.append(F.count(F.lit(1)).alias("n_rows"))
-    one = df.agg(*aggs)
-    return _long_form(one.select("*", *[F.col("n_rows").alias(f"n_rows_{i}") for i in range(len(cols))]),
-                      cols, ["n_missing", "n_rows"])
+        return [F.count_if(cond).alias(f"n_missing_{i}"), F.count(F.lit(1)).alias(f"n_rows_{i}")]
+
+    return _per_column(df, cols, aggs, ["n_missing", "n_rows"], 2)
 
 
 def zero_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Cells equal to zero per numeric column."""
     cols = list(cols or numeric_columns(df))
-    one = df.agg(*[F.count_if(F.col(c) == 0).alias(f"n_zero_{i}") for i, c in enumerate(cols)])
-    return _long_form(one, cols, ["n_zero"])
+    return _per_column(df, cols, lambda c, i: [F.count_if(F.col(c) == 0).alias(f"n_zero_{i}")], ["n_zero"], 1)
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
@@ -177,13 +193,13 @@ def target_correlation(df: DataFrame, target: str, cols: Sequence[str]) -> DataF
 def normality(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Mean, population stddev, skewness, excess kurtosis and the
     Jarque–Bera statistic n/6·(s² + k²/4) per column."""
-    cols = list(cols)
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.count(c).alias(f"n_{i}"), F.avg(c).alias(f"mean_{i}"),
-                 F.stddev_pop(c).alias(f"stddev_{i}"), F.skewness(c).alias(f"skewness_{i}"),
-                 F.kurtosis(c).alias(f"kurtosis_{i}")]
-    out = _long_form(df.agg(*aggs), cols, ["n", "mean", "stddev", "skewness", "kurtosis"])
+
+    def aggs(c, i):
+        return [F.count(c).alias(f"n_{i}"), F.avg(c).alias(f"mean_{i}"), F.stddev_pop(c).alias(f"stddev_{i}"),
+                F.skewness(c).alias(f"skewness_{i}"), F.kurtosis(c).alias(f"kurtosis_{i}")]
+
+    # buffers per column: count 1, avg 2, stddev 3, skewness 4, kurtosis 5
+    out = _per_column(df, list(cols), aggs, ["n", "mean", "stddev", "skewness", "kurtosis"], 15)
     jb = F.col("n") / 6 * (F.col("skewness") * F.col("skewness") + F.col("kurtosis") * F.col("kurtosis") / 4)
     return out.withColumn("jarque_bera", jb)
 

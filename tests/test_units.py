@@ -283,3 +283,14 @@ def test_next_versions_after_existing(spark):
                                 "name string, run_id string, source_uri string, created_at timestamp")
     got = sorted((r["name"], r["version"], r["run_id"]) for r in RG.next_versions(existing, new).collect())
     assert got == [("m", 3, "r2"), ("m", 4, "r3"), ("n", 1, "q")]
+
+
+def test_wide_profiles_chunk(spark):
+    # 40 columns: more aggregate buffer fields than one codegen'd aggregate holds
+    cols = [f"c{i}" for i in range(40)]
+    rows = [tuple(float((r * (i + 3)) % 7) for i in range(40)) for r in range(30)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
+    assert PR.normality(df, cols).count() == 40
+    z = {r["column"]: r["n_zero"] for r in PR.zero_counts(df, cols).collect()}
+    assert z["c0"] == sum(1 for r in rows if r[0] == 0)
+    assert PR.missing_counts(df, cols).count() == 40
