@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions.exprs import bucket1000, hash32
@@ -96,17 +96,17 @@ def exact_holdout(df: DataFrame, key_cols: Sequence[str], fraction: float,
     for dc in dcols:
         if need == 0 or boundary_n <= boundary_limit:
             break
-        counts = sorted(tuple(r) for r in marked.filter(prefix_eq).groupBy(dc)
-                        .agg(F.count(F.lit(1)).alias("c")).collect())
-        cum = 0
-        for v, c in counts:
-            if cum + c >= need:
-                less = less | (prefix_eq & (F.col(dc) < v))
-                prefix_eq = prefix_eq & (F.col(dc) == v)
-                need -= cum
-                boundary_n = c
-                break
-            cum += c
+        # ≤ 65,536 bucket counts; a running sum over them (one small task)
+        # finds the bucket where the cut falls; one row reaches the driver
+        counts = marked.filter(prefix_eq).groupBy(dc).agg(F.count(F.lit(1)).alias("c"))
+        running = Window.orderBy(dc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cut = (counts.withColumn("cum", F.sum("c").over(running))
+               .filter(F.col("cum") >= need).orderBy(dc).limit(1).first())
+        v, c, cum = cut[dc], cut["c"], cut["cum"]
+        less = less | (prefix_eq & (F.col(dc) < v))
+        prefix_eq = prefix_eq & (F.col(dc) == v)
+        need -= cum - c
+        boundary_n = c
     is_test = less
     if need > 0:
         edge = (marked.filter(prefix_eq).orderBy(*dcols, *key_cols).limit(need)
