@@ -92,9 +92,13 @@ def runs_wide(runs: DataFrame, metrics: DataFrame, metric_keys: Sequence[str] =
         metrics = metrics.join(ids, "run_id", "left_semi")
         if params is not None:
             params = params.join(ids, "run_id", "left_semi")
-    lm = latest_metrics(metrics.filter(F.col("key").isin(list(metric_keys))), ties)
-    wide = lm.groupBy("run_id").pivot("key", list(metric_keys)).agg(F.max("value"))
-    wide = wide.select("run_id", *[F.col(k).alias(f"metric_{k}") for k in metric_keys])
+    # latest-wins and the pivot in one aggregate keyed by run: per metric key,
+    # the greatest (ts, ties…, value) among that key's rows (one shuffle)
+    order = [F.col("ts"), *[F.col(t) for t in ties]]
+    latest = [F.max(F.when(F.col("key") == k, F.struct(*order, F.col("value").alias("value")))).alias(f"__m{i}")
+              for i, k in enumerate(metric_keys)]
+    wide = (metrics.filter(F.col("key").isin(list(metric_keys))).groupBy("run_id").agg(*latest)
+            .select("run_id", *[F.col(f"__m{i}.value").alias(f"metric_{k}") for i, k in enumerate(metric_keys)]))
     out = runs.join(wide, "run_id", "left")
     if params is not None and param_keys:
         lp = latest_by(params.filter(F.col("key").isin(list(param_keys))), ["run_id", "key"], ["ts"], ["value"])
