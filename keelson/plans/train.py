@@ -61,9 +61,12 @@ def make_splits(df: DataFrame, cfg: RunConfig, drop: Sequence[str] = (), persist
         # cluster has cores (one small file) would leave cores idle in every
         # pass, so spread it once, by row key, before caching. Inputs that
         # are already wide keep their layout (no shuffle).
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        target = cores
-        if train.rdd.getNumPartitions() < target:
+        try:
+            target = df.sparkSession.sparkContext.defaultParallelism
+            narrow = train.rdd.getNumPartitions() < target
+        except Exception:  # no RDD view (remote session): keep the layout
+            narrow = False
+        if narrow:
             train = train.repartition(target, *cfg.keys)
             test = test.repartition(max(1, target // 2), *cfg.keys)
         train = train.persist(StorageLevel.MEMORY_AND_DISK)

@@ -43,6 +43,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings that may change at runtime and make sure a
     checkpoint folder is known (GBT fitting and lineage cuts need it)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        spark.sparkContext  # classic session
+    except Exception:  # a remote (Connect) session: the server owns the checkpoint folder
+        return spark
     checkpoint_dir(spark)
     return spark
 
