@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import pickle
+import sys
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,21 +39,30 @@ def fold(doc_id: str, parts: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % parts, F.lit(0)).cast("int")
 
 
+def once_per_worker(key, make):
+    """What a Python worker keeps from one task to the next."""
+    kept = sys.__dict__.setdefault("keelson_kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 class Shared:
-    """A broadcast of any object, its classes included; ``value`` is unpacked
-    once in each Python worker's task."""
+    """A broadcast of any object, its classes included; a Python worker
+    unpacks ``value`` once and keeps the last two it was asked for."""
 
     def __init__(self, spark: SparkSession, value):
+        self.name = uuid.uuid4().hex
         self.packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
     @property
     def value(self):
-        if "own" not in self.__dict__:
-            self.own = pickle.loads(self.packed.value)
-        return self.own
-
-    def __getstate__(self):
-        return {"packed": self.packed}
+        kept = once_per_worker("shared", dict)
+        if self.name not in kept:
+            while len(kept) > 1:
+                del kept[next(iter(kept))]
+            kept[self.name] = pickle.loads(self.packed.value)
+        return kept[self.name]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

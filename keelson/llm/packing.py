@@ -16,7 +16,6 @@ only the longest single document and one block bound a task's memory.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,19 +24,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import id_and_bytes
+from keelson.llm.common import id_and_bytes, once_per_worker
 
-STEM_AND_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+#: the kind of every byte: letter (and all beyond ASCII), white space, digit, apostrophe, other mark
+KINDS = bytes(97 if chr(c).isalpha() or c > 127 else 32 if chr(c) in " \t\n\r\v\f" else 48 if chr(c).isdigit() else 39 if c == 39 else 33
+              for c in range(256))
+ASCII = bytes(range(128))
+MARKS = [chr(c) for c in range(33, 127) if KINDS[c] == 33]
 
 
 class WordEncoder:
     """Token ids as little-endian 32-bit bytes, for tokenizers whose words
-    never reach over white space. Pieces between spaces are looked up in a
-    bounded cache; letters followed by ASCII marks (no apostrophe) are split
-    there as the tokenizer's own pattern does, and unknown words go to it in
-    one call. Texts that may hold a special token are encoded as they are."""
+    never reach over white space or from letters to marks. Pieces between
+    spaces are looked up in a bounded cache, and unknown words go to the
+    tokenizer in one call. In most texts marks stand alone; there they are
+    pieces of their own. Texts that may hold a special token are encoded as
+    they are."""
 
-    def __init__(self, path: str, end_id: int | None, cache_words: int = 300_000):
+    def __init__(self, path: str, end_id: int | None, cache_words: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -45,45 +49,50 @@ class WordEncoder:
         self.last = np.zeros(self.tok.get_vocab_size(), bool)
         for piece, i in self.tok.get_vocab().items():
             self.last[i] = piece.endswith("</w>")
-        self.special = [str(t) for t in (x.content for x in self.tok.get_added_tokens_decoder().values())]
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def plain(self, texts: list[str]) -> list[bytes]:
         found = self.tok.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
-    def learn(self, pieces: set[str]) -> None:
-        parts = {p: m.groups() for p in pieces if (m := STEM_AND_MARKS.fullmatch(p))}
-        lower = {p: s.lower() if s.isascii() else s for p, (s, _) in parts.items()}
-        words = [w for w in set(lower.values()) if w not in self.cache]
+    def learn(self, pieces: list[str]) -> None:
+        words = [p for p in pieces if p.isalpha()]
         for i in range(0, len(words), 20_000):
             part = words[i:i + 20_000]
             ids = np.frombuffer(self.plain([" ".join(part)])[0], "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
+            ends = 4 * np.flatnonzero(self.last[ids]) + 4
             if len(ends) == len(part):
-                raw, a = ids.tobytes(), 0
-                for w, b in zip(part, (4 * ends).tolist()):
-                    self.cache[w], a = raw[a:b], b
+                raw, ends = ids.tobytes(), ends.tolist()
+                self.cache.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)]))
             else:  # some word is more than one for the tokenizer
                 self.cache.update(zip(part, self.plain(part)))
-        marks = [m for m in {m for _, m in parts.values()} if m not in self.cache]
-        self.cache.update(zip(marks, self.plain(marks)))
-        for p, (_, m) in parts.items():
-            self.cache[p] = self.cache[lower[p]] + self.cache[m]
-        rest = [p for p in pieces if p not in parts]
+        rest = [p for p in pieces if not p.isalpha()]
         self.cache.update(zip(rest, self.plain(rest)))
 
+    def pieces(self, text: str) -> list[str] | None:
+        """What to look up; None for a text to be encoded as it is."""
+        if any(s in text for s in self.special):
+            return None
+        raw = text.encode("utf-8", "replace")
+        kinds = raw.translate(KINDS)
+        other = b"" if text.isascii() else raw.translate(None, ASCII)
+        if b"!!" not in kinds and b"'" not in kinds and (not other or other.decode("utf-8", "replace").isalpha() and "\u0130" not in text and "\u03a3" not in text):
+            text = text.lower()
+            for m in MARKS:
+                if m in text:
+                    text = text.replace(m, f" {m} ")
+        return text.replace("\n", " ").split(" ")
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for i in range(0, len(texts), 500):
-            split = [None if any(s in t for s in self.special) else t.replace("\n", " ").split(" ") for t in texts[i:i + 500]]
+        for i in range(0, len(texts), 200):
+            split = [self.pieces(t) for t in texts[i:i + 200]]
             if len(self.cache) > self.size:
                 self.cache = {"": b""}
-            new = set()
-            for s in split:
-                new.update(s or ())
-            self.learn(new - self.cache.keys())
-            get = self.cache.__getitem__
-            for t, s in zip(texts[i:i + 500], split):
+            cache = self.cache
+            self.learn([p for p in set().union(*(s for s in split if s)) if p not in cache])
+            get = cache.__getitem__
+            for t, s in zip(texts[i:i + 200], split):
                 yield (self.plain([t])[0] if s is None else b"".join(map(get, s))) + self.end
 
 
@@ -150,7 +159,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2,
         raise ValueError("capacity must be a power of two")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer, end_id)
+        encoder = once_per_worker(("WordEncoder", tokenizer, end_id), lambda: WordEncoder(tokenizer, end_id))
         following = TaskContext.get().partitionId() << 33
         keys: list[int | None] = []
         held: list[bytes] = []
