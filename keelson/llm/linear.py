@@ -29,7 +29,7 @@ class Scorer:
         return sigmoid(self.bias + sum(self.weights.get(f, 0.0) for f in sorted(features)))
 
 
-def telling(rows: list[np.ndarray], y: np.ndarray, always: np.ndarray, least: int = 5, z: float = 3.5) -> np.ndarray:
+def telling(rows: list[np.ndarray], y: np.ndarray, always: np.ndarray, least: int = 3, z: float = 3.5) -> np.ndarray:
     """Features whose rate differs between the classes by ``z`` deviations,
     and those of ``always`` that occur."""
     ids = np.concatenate(rows) if rows else np.zeros(0, np.int64)
