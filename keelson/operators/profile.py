@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions.exprs import safe_div
-from keelson.operators.evaluate import bin_expr, min_max
+from keelson.operators.evaluate import bin_expr, min_max, number, present
 
 
 def strict_drop(df: DataFrame, *cols: str) -> DataFrame:
@@ -100,16 +100,22 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
 def pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     """D3: 2-D bin counts for every column pair (pair-plot off-diagonal).
 
-    Output is at most pairs × bins² rows at any input size."""
+    Output is at most pairs × bins² rows at any input size. Pairs are taken
+    :data:`PAIRS_PER_AGGREGATE` at a time, so that a wide table's row is never
+    exploded into all of its pairs at once."""
     cols = list(cols)
     mm = min_max(df, cols)
     binned = {c: bin_expr(F.col(c), *mm[c], bins) for c in cols if c in mm}
-    stacked = [F.struct(F.lit(a).alias("x_col"), F.lit(b).alias("y_col"),
-                        binned[a].alias("x_bin"), binned[b].alias("y_bin"))
-               for a, b in combinations([c for c in cols if c in binned], 2)]
-    return (df.select(F.explode(F.array(*stacked)).alias("s")).select("s.*")
-            .filter(F.col("x_bin").isNotNull() & F.col("y_bin").isNotNull())
-            .groupBy("x_col", "y_col", "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("n")))
+    pairs = list(combinations([c for c in cols if c in binned], 2))
+    out = None
+    for k in range(0, len(pairs), PAIRS_PER_AGGREGATE):
+        stacked = [F.struct(F.lit(a).alias("x_col"), F.lit(b).alias("y_col"),
+                            binned[a].alias("x_bin"), binned[b].alias("y_bin")) for a, b in pairs[k:k + PAIRS_PER_AGGREGATE]]
+        part = (df.select(F.explode(F.array(*stacked)).alias("s")).select("s.*")
+                .filter(F.col("x_bin").isNotNull() & F.col("y_bin").isNotNull())
+                .groupBy("x_col", "y_col", "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("n")))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 PAIRS_PER_AGGREGATE = 15  # 6 sum buffers per pair: stays under spark.sql.codegen.maxFields (100)
@@ -123,7 +129,7 @@ def _pair_sums(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame | None:
     Plain sums keep the aggregate inside whole-stage codegen (covar_pop /
     stddev_pop need far more buffer fields and fall back to the interpreted
     path), and centring keeps the sums free of cancellation."""
-    both = [F.col(a).isNotNull() & F.col(b).isNotNull() for a, b in pairs]
+    both = [present(F.col(a)) & present(F.col(b)) for a, b in pairs]
     mrow = df.agg(*[F.avg(F.when(both[i], F.col(a))).alias(f"ma_{i}") for i, (a, _) in enumerate(pairs)],
                   *[F.avg(F.when(both[i], F.col(b))).alias(f"mb_{i}") for i, (_, b) in enumerate(pairs)]).first()
     aggs = []
@@ -195,8 +201,9 @@ def normality(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Jarque–Bera statistic n/6·(s² + k²/4) per column."""
 
     def aggs(c, i):
-        return [F.count(c).alias(f"n_{i}"), F.avg(c).alias(f"mean_{i}"), F.stddev_pop(c).alias(f"stddev_{i}"),
-                F.skewness(c).alias(f"skewness_{i}"), F.kurtosis(c).alias(f"kurtosis_{i}")]
+        x = number(c)
+        return [F.count(x).alias(f"n_{i}"), F.avg(x).alias(f"mean_{i}"), F.stddev_pop(x).alias(f"stddev_{i}"),
+                F.skewness(x).alias(f"skewness_{i}"), F.kurtosis(x).alias(f"kurtosis_{i}")]
 
     # buffers per column: count 1, avg 2, stddev 3, skewness 4, kurtosis 5
     out = _per_column(df, list(cols), aggs, ["n", "mean", "stddev", "skewness", "kurtosis"], 15)
@@ -210,7 +217,7 @@ def category_profile(df: DataFrame, category: str, target: str) -> DataFrame:
 
     Groups are partially aggregated; the two totals are scalar subqueries,
     so no join and no collect."""
-    y = F.col(target)
+    y = number(target)
     groups = df.groupBy(category).agg(
         F.count(y).alias("n"), F.avg(y).alias("mean"), F.stddev_pop(y).alias("stddev"),
         (F.var_pop(y) * F.count(y)).alias("ss_within"))

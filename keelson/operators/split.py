@@ -72,48 +72,54 @@ def _digits(key_cols, salt) -> list[Column]:
 
 def exact_holdout(df: DataFrame, key_cols: Sequence[str], fraction: float,
                   salt: str = HOLDOUT_SALT, col: str = "split",
-                  names: tuple[str, str] = ("train", "test"),
-                  boundary_limit: int = 100_000) -> DataFrame:
+                  names: tuple[str, str] = ("train", "test")) -> DataFrame:
     """Exactly ``ceil(n * fraction)`` test rows — the rows with the
     smallest (64-bit key hash, key), as a global sort would pick them, but
     without sorting or collecting the table.
 
     The hash is read as four 16-bit digits. Each round counts the rows per
-    next digit inside the current boundary prefix (at most 65,536 counts reach
-    the driver) and fixes that digit; rows with a smaller prefix are test
-    rows. Once the boundary group holds at most ``boundary_limit`` rows, the
-    rows still needed are taken from it by an ordered limit and broadcast.
-    The key must identify rows (duplicates would share one hash).
+    next digit inside the current boundary prefix (at most 65,536 counts) and
+    fixes that digit; rows with a smaller prefix are test rows. What is left at
+    the boundary are rows of one hash, nearly always of one key; the rows still
+    needed are its first in key order.
+
+    NULL keys are keys like others. If several rows share the boundary key and
+    only some of them are needed, no key can tell them apart: ValueError.
     """
     key_cols = list(key_cols)
     dcols = [f"__d{i}" for i in range(4)]
     marked = df.select("*", *[d.alias(c) for d, c in zip(_digits(key_cols, salt), dcols)])
-    n = df.count()
-    need = math.ceil(n * fraction)
-    prefix_eq = F.lit(True)
-    less = F.lit(False)
-    boundary_n = n
+    prefix_eq, is_test, need = F.lit(True), F.lit(False), None
     for dc in dcols:
-        if need == 0 or boundary_n <= boundary_limit:
-            break
-        # ≤ 65,536 bucket counts; a running sum over them (one small task)
+        # a running sum over at most 65,536 bucket counts (one small task)
         # finds the bucket where the cut falls; one row reaches the driver
         counts = marked.filter(prefix_eq).groupBy(dc).agg(F.count(F.lit(1)).alias("c"))
         running = Window.orderBy(dc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cut = (counts.withColumn("cum", F.sum("c").over(running))
-               .filter(F.col("cum") >= need).orderBy(dc).limit(1).first())
-        v, c, cum = cut[dc], cut["c"], cut["cum"]
-        less = less | (prefix_eq & (F.col(dc) < v))
-        prefix_eq = prefix_eq & (F.col(dc) == v)
-        need -= cum - c
-        boundary_n = c
-    is_test = less
-    if need > 0:
-        edge = (marked.filter(prefix_eq).orderBy(*dcols, *key_cols).limit(need)
-                .select(*key_cols).withColumn("__edge", F.lit(True)))
-        if need <= boundary_limit:
-            edge = F.broadcast(edge)
-        marked = marked.join(edge, on=key_cols, how="left")
-        is_test = less | F.coalesce(F.col("__edge"), F.lit(False))
-    out = marked.withColumn(col, F.when(is_test, names[1]).otherwise(names[0]))
-    return out.drop("__edge", *dcols)
+        cum = counts.withColumn("cum", F.sum("c").over(running))
+        if need is None:  # the first round knows the row count as well
+            cum = cum.withColumn("need", F.ceil(F.sum("c").over(Window.partitionBy()) * F.lit(float(fraction))))
+        else:
+            cum = cum.withColumn("need", F.lit(need))
+        cut = cum.filter(F.col("cum") >= F.col("need")).orderBy(dc).limit(1).first()
+        need = 0 if cut is None else int(cut["need"])
+        if need == 0:
+            break
+        is_test = is_test | (prefix_eq & (F.col(dc) < cut[dc]))
+        prefix_eq = prefix_eq & (F.col(dc) == cut[dc])
+        need -= cut["cum"] - cut["c"]
+        if need == cut["c"]:  # the whole bucket
+            is_test, need = is_test | prefix_eq, 0
+            break
+    if need:
+        # keys of one 64-bit hash: taken whole, in key order
+        edge = marked.filter(prefix_eq).groupBy(*key_cols).agg(F.count(F.lit(1)).alias("c")).orderBy(*key_cols).limit(need).collect()
+        for r in edge:
+            if need < r["c"]:
+                raise ValueError(f"{r['c']} rows share the boundary key; the key must identify rows")
+            same = prefix_eq
+            for k in key_cols:
+                same = same & F.col(k).eqNullSafe(F.lit(r[k]))
+            is_test, need = is_test | same, need - r["c"]
+            if not need:
+                break
+    return marked.withColumn(col, F.when(is_test, names[1]).otherwise(names[0])).drop(*dcols)
