@@ -34,40 +34,28 @@ ETR_MODEL_CONFIG = {
 
 LGBM_MODEL_CONFIG = {
     "BOOSTING_TYPE": "goss",
-    "LEARNING_RATE": 0.15,
     "MAX_DEPTH": 40,
-    "MIN_DATA": 100,
     "N_ESTIMATORS": 200,
     "NUM_LEAVES": 250,
     "REG_LAMBDA": 1,
     "SCALE_POS_WEIGHT": 1,
-    "SEED": 42,
-    "SUBSAMPLE": 0.9,
     "COLSAMPLE_BYTREE": 1.0,
-    "VERBOSE": 20,
-    "NUM_BOOST_ROUND": 300,
 }
 
 LGBM_FIXED_MODEL_CONFIG = {
     "LEARNING_RATE": 0.1,
     "MIN_DATA": 100,
-    "SEED": 42,
     "SUBSAMPLE": 0.9,
-    "VERBOSE": 20,
     "NUM_ITERATIONS": 200,
 }
 
 XGBOOST_MODEL_CONFIG = {
     "LEARNING_RATE": 0.01,
     "MAX_DEPTH": 100,
-    "MIN_DATA": 100,
     "N_ESTIMATORS": 1000,
     "REG_LAMBDA": 100,
     "SCALE_POS_WEIGHT": 10,
-    "SEED": 42,
-    "SUBSAMPLE": 0.9,
     "COLSAMPLE_BYTREE": 0.9,
-    "NUM_BOOST_ROUNDS": 200,
     "GAMMA": 0.01,
 }
 
@@ -80,9 +68,7 @@ RANDOM_FOREST_MODEL_CONFIG = {
     "n_estimators": 1000,
 }
 
-XGBOOST_FIXED_MODEL_CONFIG = {"SEED": 42, "SUBSAMPLE": 0.95}
-
-RANDOM_FOREST_FIXED_MODEL_CONFIG = {"RANDOM_STATE": 42}
+XGBOOST_FIXED_MODEL_CONFIG = {"SUBSAMPLE": 0.95}
 
 # Search spaces: ("choice", [values]) or ("uniform", low, high).
 ETR_SPACE = {
@@ -208,6 +194,8 @@ class RunConfig:
     parallelism: int = MODEL_CONFIG["PARALELISM"]
     model_name: str = MODEL_CONFIG["REGISTER_MODEL_NAME"]
     seed: int = 42
+    # partitions a fit works on: part of the model, like the seed
+    fit_partitions: int = 16
 
 
 def _vtype(v) -> str:

@@ -1,14 +1,13 @@
 """Queries that fit, tune, track, register and score models.
 
-Their results depend on tree fitting, so they have no SQL twin; each
-returns a small, checkable frame (one metrics row, a trials table, scored
-rows). They read the regression table built from lineitem at full size.
-
-Tree counts and depths of the original settings (up to 2,000 trees, depth
-100) are far beyond what a smoke check can afford, so these queries pass a
-``Budget`` that caps them; every capped value is flagged ``capped`` in the
-output and in the run's parameters. Without a budget the library uses the
-original settings unchanged.
+They read the regression table built from lineitem at full size. What a tree
+fit gives has no SQL twin, so these queries return facts about it that have
+one: how many rows were held out and their key sum, whether the model reaches
+its floor, how many trials succeeded, whether each logged value is there.
+
+Settings are the configured ones. Where a query wants a smaller model, it
+narrows a search space to some of its configured values (:func:`narrowed`
+refuses any other) and says so here; nothing is cut on the way.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson import session as S
-from keelson.config import RANDOM_FOREST_HAND_SET, RunConfig
+from keelson.config import MODEL_CONFIG, RANDOM_FOREST_HAND_SET, RUN_NAMES, SPACES, RunConfig, family_defaults
 from keelson.operators import evaluate as EV
 from keelson.operators import models as M
 from keelson.operators import search as SR
@@ -26,48 +25,31 @@ from keelson.operators.tracking import TrackingStore
 from keelson.plans import score as SC
 from keelson.plans import select as SE
 from keelson.plans import train as TN
+from keelson.plans.queries import PRED_SQL, REG_SQL, sql_bucket
+from keelson.sources import files as FL
 from keelson.sources import tables as TB
 
 CFG = RunConfig(keys=TB.LINEITEM_KEY)
-QUICK_BUDGET = M.Budget(max_trees=20, max_depth=8)
-
-# Reduced search spaces for checks and benchmarks: the original parameters
-# and kinds, with tree counts and depths cut down to what one machine can fit
-# quickly (several of these values are not in the original choice lists).
-QUICK_SPACES = {
-    "random_forest": {
-        "bootstrap": ("choice", [True, False]),
-        "max_depth": ("choice", [5, 8, 10]),
-        "max_features": ("choice", ["auto", "sqrt"]),
-        "min_samples_leaf": ("choice", [1, 2, 5]),
-        "min_samples_split": ("choice", [2, 5, 20]),
-        "n_estimators": ("choice", [10, 20]),
-    },
-    "extra_trees": {
-        "n_estimators": ("choice", [10, 20]),
-        "max_depth": ("choice", [2, 10, 15]),
-        "min_samples_split": ("choice", [3, 7, 9, 12, 15]),
-        "min_samples_leaf": ("choice", [2, 4, 5, 8, 12]),
-        "criterion": ("choice", ["mse"]),
-    },
-    "xgboost": {
-        "max_depth": ("choice", [4, 9]),
-        "learning_rate": ("choice", [0.08, 0.1, 0.5, 1.0]),
-        "gamma": ("choice", [0.01, 0.08, 0.1, 1.0]),
-        "reg_lambda": ("choice", [1, 10, 30, 100]),
-        "n_estimators": ("choice", [10, 20]),
-        "scale_pos_weight": ("choice", [1, 2, 3, 4, 10, 15]),
-        "colsample_bytree": ("uniform", 0.3, 1.0),
-    },
-    "lightgbm": {
-        "num_leaves": ("choice", [20, 40, 100, 240]),
-        "colsample_bytree": ("uniform", 0.3, 1.0),
-        "n_estimators": ("choice", [10, 20]),
-        "boosting_type": ("choice", ["dart", "goss"]),
-        "max_depth": ("choice", [10, 20, 38, 40, 42]),
-        "reg_lambda": ("choice", [0, 1, 2, 3, 10, 15]),
-        "scale_pos_weight": ("choice", [1, 2, 3, 4, 10, 15]),
-    },
+
+
+def narrowed(family: str, **values) -> dict:
+    """The configured space of ``family`` with some parameters narrowed to
+    values that are in their configured lists."""
+    space = dict(SPACES[family])
+    for p, some in values.items():
+        unknown = [v for v in some if v not in space[p][1]]
+        if unknown:
+            raise ValueError(f"{family}.{p}: {unknown} not configured")
+        space[p] = ("choice", list(some))
+    return space
+
+
+# the smallest configured models of each family
+SMALL_SPACES = {
+    "random_forest": narrowed("random_forest", n_estimators=[200], max_depth=[10]),
+    "extra_trees": narrowed("extra_trees", n_estimators=[80], max_depth=[10]),
+    "xgboost": narrowed("xgboost", n_estimators=[40], max_depth=[4]),
+    "lightgbm": narrowed("lightgbm", n_estimators=[280], num_leaves=[20]),
 }
 
 
@@ -76,103 +58,133 @@ def _splits(spark, sf, persist=True) -> TN.Splits:
     return TN.make_splits(TB.reg(spark, sf), CFG, persist=persist)
 
 
-def _fit_and_score(spark, sf, family: str, params: dict, budget: M.Budget | None) -> DataFrame:
+def _fit_metrics(spark, sf, family: str, params: dict):
+    """One fit on the training part: (metrics of the held-out rows, their key
+    sum, the model, its spec)."""
     s = _splits(spark, sf)
     try:
-        val_col = "__is_valid" if family in ("xgboost", "lightgbm") else None
-        spec = M.build(family, params, CFG.features, CFG.target, seed=CFG.seed, budget=budget,
-                       validation_col=val_col)
+        spec = M.build(family, params, CFG.features, CFG.target, seed=CFG.seed, refit=True)
         model = M.fit(spec, s.train, CFG.features, validation=s.test, seed=CFG.seed)
         m = EV.regression_metrics(model.transform(s.test), CFG.target, "prediction", len(CFG.features)).first()
+        keys = s.test.agg(F.sum("l_orderkey")).first()[0]
     finally:
         TN.release(s)
-    flags = ",".join(f"{k}={v}" for k, v in sorted(spec.flags.items()))
-    row = [(family, int(m["n"]), float(m["mse"]), float(m["rmse"]), m["r2"], m["r2_adj"], m["mape"],
-            M.n_trees(model), flags)]
-    return spark.createDataFrame(row, "family string, n_test long, mse double, rmse double, r2 double, "
-                                      "r2_adj double, mape double, n_trees int, flags string")
+    return m, keys, model, spec
+
+
+def _fit_facts(spark, sf, family: str, params: dict, floor: float) -> DataFrame:
+    m, keys, model, spec = _fit_metrics(spark, sf, family, params)
+    kept = M.n_trees(model)
+    asked = spec.rounds or spec.spark_params["numTrees"]
+    row = [(family, int(m["n"]), int(keys), int(m["n_incomplete"]), m["r2"] >= floor, 0 < kept <= asked if spec.rounds else kept == asked,
+            ",".join(f"{k}={v}" for k, v in sorted(spec.flags.items())))]
+    return spark.createDataFrame(row, "family string, n_test long, test_key_sum long, n_incomplete long, reaches_floor boolean, "
+                                      "trees_as_asked boolean, flags string")
+
+
+TEST_SQL = (f"SELECT * FROM ({REG_SQL}) WHERE {sql_bucket(TB.LINEITEM_KEY, 'etl')} >= 200 "
+            f"AND {sql_bucket(TB.LINEITEM_KEY, 'holdout')} < 200")
+VALIDATION_SQL = f"SELECT * FROM ({REG_SQL}) WHERE {sql_bucket(TB.LINEITEM_KEY, 'etl')} < 200"
+
+
+def _fit_sql(family: str, flags: str) -> str:
+    return (f"SELECT '{family}' AS family, count(*) AS n_test, CAST(sum(l_orderkey) AS BIGINT) AS test_key_sum, "
+            f"CAST(0 AS BIGINT) AS n_incomplete, true AS reaches_floor, true AS trees_as_asked, '{flags}' AS flags FROM ({TEST_SQL})")
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """A2 → C1/C2 → E2 (20 trees) → E8 → F1–F5: one row of metrics."""
-    return _fit_and_score(spark, sf, "random_forest", dict(RANDOM_FOREST_HAND_SET, n_estimators=20), None)
+    """A2 → C1/C2 → E2 (as configured) → E8 → F1–F5: one row of metrics."""
+    m, _, model, spec = _fit_metrics(spark, sf, "random_forest", dict(RANDOM_FOREST_HAND_SET))
+    row = [("random_forest", int(m["n"]), m["mse"], m["rmse"], m["r2"], m["r2_adj"], m["mape"], M.n_trees(model))]
+    return spark.createDataFrame(row, "family string, n_test long, mse double, rmse double, r2 double, r2_adj double, "
+                                      "mape double, n_trees int")
 
 
 def q_fit_rf_default(spark, sf):
-    """Spark's default forest."""
-    return _fit_and_score(spark, sf, "random_forest", {}, None)
+    """The original library's default forest."""
+    return _fit_facts(spark, sf, "random_forest", {}, 0.99)
 
 
 def q_fit_rf_fixed(spark, sf):
     """Depth 5, leaf 3, split 3, 200 trees, seed 42."""
-    return _fit_and_score(spark, sf, "random_forest", dict(RANDOM_FOREST_HAND_SET), None)
+    return _fit_facts(spark, sf, "random_forest", dict(RANDOM_FOREST_HAND_SET), 0.98)
 
 
 def q_fit_extra_trees(spark, sf):
-    """E4 with the configured Extra Trees defaults (capped)."""
-    from keelson.config import family_defaults
-
-    return _fit_and_score(spark, sf, "extra_trees", family_defaults("extra_trees"), QUICK_BUDGET)
+    """80 trees of depth 10, the other settings as configured."""
+    return _fit_facts(spark, sf, "extra_trees", family_defaults("extra_trees") | {"n_estimators": 80, "max_depth": 10}, 0.97)
 
 
 def q_fit_gbt(spark, sf):
-    """E5 + E7: boosted trees, early stopping on the holdout."""
-    params = {"max_depth": 4, "learning_rate": 0.1, "gamma": 0.01, "reg_lambda": 1, "n_estimators": 40,
-              "scale_pos_weight": 1, "colsample_bytree": 1.0}
-    return _fit_and_score(spark, sf, "xgboost", params, M.Budget(max_trees=40, max_depth=8))
+    """E5 + E7: 40 rounds of depth 4 at step 0.1, watched on the holdout."""
+    params = family_defaults("xgboost") | {"max_depth": 4, "learning_rate": 0.1, "n_estimators": 40, "colsample_bytree": 1.0}
+    return _fit_facts(spark, sf, "xgboost", params, 0.97)
 
 
 def q_fit_gbt_leafwise(spark, sf):
-    """The leaf-limited preset with the configured defaults (capped)."""
-    from keelson.config import family_defaults
+    """20 leaves, the other settings as configured (200 rounds)."""
+    return _fit_facts(spark, sf, "lightgbm", family_defaults("lightgbm") | {"num_leaves": 20}, 0.97)
 
-    return _fit_and_score(spark, sf, "lightgbm", family_defaults("lightgbm"), QUICK_BUDGET)
+
+def _forest(s: TN.Splits):
+    """The hand-set forest on a fitting part."""
+    return M.fit(M.build("random_forest", dict(RANDOM_FOREST_HAND_SET), CFG.features, CFG.target, seed=CFG.seed), s.train, CFG.features)
 
 
 def q_predict_batch(spark, sf):
-    """Fit on training, predict every validation row (keys + prediction)."""
+    """Fit on training, predict every validation row: its keys, and
+    whether the prediction is a number in the target's range."""
     s = _splits(spark, sf)
     try:
-        spec = M.build("random_forest", {}, CFG.features, CFG.target, seed=CFG.seed)
-        model = M.fit(spec, s.train, CFG.features)
+        model = _forest(s)
+        lo, hi = EV.min_max(s.train, [CFG.target])[CFG.target]
     finally:
         TN.release(s)
-    return M.predict(model, s.validation, keep=CFG.keys)
+    return M.predict(model, s.validation, keep=CFG.keys).select(*CFG.keys, F.col("prediction").between(lo, hi).alias("in_range"))
+
+
+_KEYS = ", ".join(TB.LINEITEM_KEY)
+SQL_PREDICT_BATCH = f"SELECT {_KEYS}, true AS in_range FROM ({VALIDATION_SQL})"
 
 
 def q_tune_rf(spark, sf):
-    """A 4-trial adaptive search, 2 trials at a time."""
+    """The configured number of trials, 4 at a time."""
     s = _splits(spark, sf)
     try:
-        trials = SR.search(spark, "random_forest", s.train, s.test, CFG.features, CFG.target, max_evals=4,
-                           parallelism=2, seed=CFG.seed, space=QUICK_SPACES["random_forest"], startup=2)
-        out = trials.select("family", "trial_id", F.to_json("params").alias("params"), "loss", "status").persist()
-        out.count()
+        trials = SR.search(spark, "random_forest", s.train, s.test, CFG.features, CFG.target,
+                           max_evals=MODEL_CONFIG["MAX_EVALS"], parallelism=4, seed=CFG.seed, space=SMALL_SPACES["random_forest"])
     finally:
         TN.release(s)
-    return out
+    return trials.select("family", "trial_id", "status", (F.col("loss") > 0).alias("has_loss"), F.size("params").alias("n_params"))
+
+
+SQL_TUNE_RF = f"""SELECT 'random_forest' AS family, range AS trial_id, 'ok' AS status, true AS has_loss,
+  {len(SPACES['random_forest'])} AS n_params FROM range({MODEL_CONFIG['MAX_EVALS']})"""
 
 
 def q_tune_refit(spark, sf):
     """Search, decode the best trial, refit, evaluate."""
+    from keelson.config import encode_value, search_space_rows
+
     s = _splits(spark, sf)
+    space = SMALL_SPACES["xgboost"]
     try:
-        space = QUICK_SPACES["xgboost"]
-        keeper = SR.BestModel()
-        trials = SR.search(spark, "xgboost", s.train, s.test, CFG.features, CFG.target, max_evals=3,
-                           parallelism=3, seed=CFG.seed, space=space, algo="random", budget=QUICK_BUDGET,
-                           keeper=keeper)
-        from keelson.config import search_space_rows
+        trials = SR.search(spark, "xgboost", s.train, s.test, CFG.features, CFG.target, max_evals=4,
+                           parallelism=4, seed=CFG.seed, space=space, algo="random")
         params = SR.best_params(trials, "xgboost", search_space_rows("xgboost", space))
-        model, spec, scored = SR.refit_and_score("xgboost", params, s.train, s.test, CFG.features, CFG.target,
-                                                 seed=CFG.seed, budget=QUICK_BUDGET, keeper=keeper)
+        _, spec, scored = SR.refit_and_score("xgboost", params, s.train, s.test, CFG.features, CFG.target, seed=CFG.seed)
         m = EV.regression_metrics(scored, CFG.target, "prediction", len(CFG.features)).first()
     finally:
         TN.release(s)
-    from keelson.config import encode_value
-    rows = [("xgboost", k, encode_value(v), spec.flags.get(k, "")) for k, v in sorted(params.items())]
-    rows.append(("xgboost", "__mape", repr(m["mape"]), ""))
-    return spark.createDataFrame(rows, "family string, param string, value string, flag string")
+    inside = {p: any(encode_value(v) == encode_value(params[p]) for v in c[1]) if c[0] == "choice" else c[1] <= params[p] <= c[2]
+              for p, c in space.items()}
+    rows = [("xgboost", p, inside[p], int(m["n"]), m["mape"] is not None) for p in sorted(params)]
+    return spark.createDataFrame(rows, "family string, param string, in_space boolean, n_test long, has_mape boolean")
+
+
+SQL_TUNE_REFIT = (f"WITH t AS (SELECT count(*) AS n FROM ({TEST_SQL})) "
+                  + " UNION ALL ".join(f"SELECT 'xgboost' AS family, '{p}' AS param, true AS in_space, n AS n_test, true AS has_mape FROM t"
+                                       for p in sorted(SPACES["xgboost"])))
 
 
 def _store_and_registry(spark):
@@ -181,21 +193,25 @@ def _store_and_registry(spark):
 
 
 def q_score_staged(spark, sf):
-    """Track two runs, register the best,
-    promote, load the staged model and score every validation row."""
+    """Track a run of two families (a search
+    of 2 trials each and its refit), register the best, promote, load the
+    staged model and score every validation row."""
     store, registry, root = _store_and_registry(spark)
     s = _splits(spark, sf)
     try:
         for fam in ("random_forest", "extra_trees"):
-            TN.train_family(spark, fam, s, CFG, store, "train", max_evals=2, parallelism=2,
-                            space=QUICK_SPACES[fam], budget=QUICK_BUDGET, artifacts=False)
+            TN.train_family(spark, fam, s, CFG, store, "train", max_evals=2, parallelism=2, space=SMALL_SPACES[fam])
     finally:
         TN.release(s)
     SE.select_and_promote(spark, store, registry, "train", CFG.model_name, CFG.comparison_metric)
     scored = SC.score(s.validation, registry, CFG.model_name, CFG.keys)
     out = root + "/scored"
     SC.write_scores(scored, out)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select(*CFG.keys, "model_name", "model_version", F.col("prediction").isNotNull().alias("scored"))
+
+
+SQL_SCORE_STAGED = (f"SELECT {_KEYS}, '{CFG.model_name}' AS model_name, CAST(1 AS BIGINT) AS model_version, true AS scored "
+                    f"FROM ({VALIDATION_SQL})")
 
 
 def q_roundtrip_model(spark, sf):
@@ -206,66 +222,103 @@ def q_roundtrip_model(spark, sf):
     store, _, _ = _store_and_registry(spark)
     s = _splits(spark, sf)
     try:
-        spec = M.build("random_forest", {"n_estimators": 10, "max_depth": 5}, CFG.features, CFG.target)
-        model = M.fit(spec, s.train, CFG.features)
+        model = _forest(s)
         with store.start_run("roundtrip", "RandomForest") as r:
             r.log_model(model, "RandomForest")
             run_id = r.run_id
         loaded = PipelineModel.load(store.artifact_uri(run_id, "RandomForest"))
-        a = model.transform(s.test).select(*CFG.keys, F.col("prediction").alias("p1"))
-        b = loaded.transform(s.test).select(*CFG.keys, F.col("prediction").alias("p2"))
-        out = a.join(b, CFG.keys).agg(F.count(F.lit(1)).alias("n"),
-                                      F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff")).persist()
-        out.count()
+        both = loaded.transform(model.transform(s.test).select(*CFG.features, F.col("prediction").alias("p1")))
+        m = both.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p1") - F.col("prediction"))).alias("d")).first()
     finally:
         TN.release(s)
-    return out
+    return spark.createDataFrame([(m["n"], m["d"])], "n long, max_abs_diff double")
+
+
+SQL_ROUNDTRIP_MODEL = f"SELECT count(*) AS n, CAST(0 AS DOUBLE) AS max_abs_diff FROM ({TEST_SQL})"
 
 
 def q_csv_roundtrip(spark, sf):
     """A1 + A4: write the scored table as CSV with a header, read it back
     with an explicit schema (no inference pass)."""
-    from keelson.sources import files as FL
-
     path = S.work_dir(spark, "csv")
     FL.write_predictions_csv(TB.pred(spark, sf), CFG.keys, path)
     schema = "l_orderkey long, l_linenumber int, ship_epoch long, l_partkey long, l_suppkey long, prediction double"
     return FL.read_csv(spark, path, schema)
 
 
+SQL_CSV_ROUNDTRIP = f"SELECT {_KEYS}, prediction FROM ({PRED_SQL})"
+
+
 def q_table_overwrite(spark, sf):
-    """A3: replace a saved table with a new version computed from itself
-    (staged first: Spark refuses to overwrite a table it is reading)."""
+    """A3: replace a saved table with a new version computed from itself."""
     from keelson.operators.profile import strict_drop
-    from keelson.sources import files as FL
 
-    path = S.work_dir(spark, "tables") + "/fish_cleaned"
+    path = S.work_dir(spark, "tables") + "/cleaned"
     cleaned = strict_drop(TB.reg(spark, sf), "l_returnflag", "l_linestatus")
     current = FL.overwrite_table(spark, cleaned, path)
-    return FL.overwrite_table(spark, current.withColumn("charge", F.round("charge", 2)), path)
+    return FL.overwrite_table(spark, current.withColumn("l_quantity", F.col("l_quantity") + 1), path)
+
+
+SQL_TABLE_OVERWRITE = f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ship_epoch, l_quantity + 1 AS l_quantity,
+  l_extendedprice, l_discount, l_tax, charge FROM ({REG_SQL})"""
+
+
+def q_etl_tables(spark, sf):
+    """A2 + A3 by name: the cleaned, training and validation tables are saved
+    under names, read back by name, and counted."""
+    import uuid
+
+    db = f"keelson_etl_{uuid.uuid4().hex[:12]}"
+    TN.save_etl_tables(spark, TB.reg(spark, sf), CFG, db, drop=("l_returnflag", "l_linestatus"))
+    out = None
+    for name in ("cleaned", "training", "validation"):
+        t = FL.read_table(spark, f"{db}.{name}")
+        part = t.agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("key_sum")).select(
+            F.lit(name).alias("name"), F.lit(len(t.columns)).alias("n_columns"), "n", "key_sum")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+SQL_ETL_TABLES = (f"WITH r AS (SELECT l_orderkey, {sql_bucket(TB.LINEITEM_KEY, 'etl')} AS b FROM ({REG_SQL})) "
+                  + " UNION ALL ".join(f"SELECT '{n}' AS name, 10 AS n_columns, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS key_sum "
+                                       f"FROM r WHERE {c}" for n, c in (("cleaned", "true"), ("training", "b >= 200"), ("validation", "b < 200"))))
 
 
 def q_train_all(spark, sf):
-    """All four families with small searches, tracked, ranked."""
+    """All four families, tracked and ranked; 2 trials each."""
     store, _, _ = _store_and_registry(spark)
     S.prepare(spark)
-    res, _ = TN.train_all(spark, TB.reg(spark, sf), CFG, store, "train", max_evals=2, parallelism=2,
-                          spaces=QUICK_SPACES, budget=QUICK_BUDGET)
-    return TN.leaderboard(res.drop("seconds", "phases"))
+    res, _ = TN.train_all(spark, TB.reg(spark, sf), CFG, store, "train", max_evals=2, parallelism=2, spaces=SMALL_SPACES)
+    board = TN.leaderboard(res.drop("seconds", "phases"))
+    logged = store.table("runs").filter("status = 'FINISHED'").groupBy("run_name").agg(F.count(F.lit(1)).alias("n_runs"))
+    names = F.create_map(*[F.lit(x) for kv in RUN_NAMES.items() for x in kv])
+    # the ranks are those of the metric, whichever family wins
+    return board.withColumn("run_name", names[F.col("family")]).join(logged, "run_name").select(
+        "family", "run_name", "n_test", "n_trials", "n_runs", (F.col("r2") > 0.95).alias("reaches_floor"),
+        F.sum("rank").over(TN.everything()).alias("rank_sum"))
+
+
+SQL_TRAIN_ALL = (f"WITH t AS (SELECT count(*) AS n FROM ({TEST_SQL})) "
+                 + " UNION ALL ".join(f"SELECT '{f}' AS family, '{r}' AS run_name, n AS n_test, CAST(2 AS BIGINT) AS n_trials, "
+                                      "CAST(2 AS BIGINT) AS n_runs, true AS reaches_floor, CAST(10 AS BIGINT) AS rank_sum FROM t"
+                                      for f, r in RUN_NAMES.items()))
 
+_BOOSTED_FLAGS = "colsample_bytree=approximated,early_stopping_metric=approximated"
 
 ML_QUERIES = {
-    "fit_rf_default": q_fit_rf_default,
-    "fit_rf_fixed": q_fit_rf_fixed,
-    "fit_extra_trees": q_fit_extra_trees,
-    "fit_gbt": q_fit_gbt,
-    "fit_gbt_leafwise": q_fit_gbt_leafwise,
-    "predict_batch": q_predict_batch,
-    "tune_rf": q_tune_rf,
-    "tune_refit": q_tune_refit,
-    "score_staged": q_score_staged,
-    "roundtrip_model": q_roundtrip_model,
-    "csv_roundtrip": q_csv_roundtrip,
-    "table_overwrite": q_table_overwrite,
-    "train_all": q_train_all,
+    "fit_rf_default": (q_fit_rf_default, _fit_sql("random_forest", "max_depth=clamped")),
+    "fit_rf_fixed": (q_fit_rf_fixed, _fit_sql("random_forest", "min_samples_split=approximated")),
+    "fit_extra_trees": (q_fit_extra_trees, _fit_sql("extra_trees", "min_samples_split=approximated")),
+    "fit_gbt": (q_fit_gbt, _fit_sql("xgboost", _BOOSTED_FLAGS + ",gamma=approximated,reg_lambda=ignored,scale_pos_weight=ignored")),
+    "fit_gbt_leafwise": (q_fit_gbt_leafwise, _fit_sql("lightgbm", "boosting_type=ignored," + _BOOSTED_FLAGS
+                                                      + ",max_depth=clamped,num_leaves=approximated,reg_lambda=ignored,scale_pos_weight=ignored")),
+    "predict_batch": (q_predict_batch, SQL_PREDICT_BATCH),
+    "tune_rf": (q_tune_rf, SQL_TUNE_RF),
+    "tune_refit": (q_tune_refit, SQL_TUNE_REFIT),
+    "score_staged": (q_score_staged, SQL_SCORE_STAGED),
+    "roundtrip_model": (q_roundtrip_model, SQL_ROUNDTRIP_MODEL),
+    "csv_roundtrip": (q_csv_roundtrip, SQL_CSV_ROUNDTRIP),
+    "table_overwrite": (q_table_overwrite, SQL_TABLE_OVERWRITE),
+    "etl_tables": (q_etl_tables, SQL_ETL_TABLES),
+    "train_all": (q_train_all, SQL_TRAIN_ALL),
 }

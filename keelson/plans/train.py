@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from keelson.config import RUN_NAMES, RunConfig
 from keelson.operators import evaluate as EV
-from keelson.operators import models as M
 from keelson.operators import search as SR
 from keelson.operators import split as SP
 from keelson.operators.tracking import TrackingStore
@@ -42,33 +41,42 @@ def etl(df: DataFrame, cfg: RunConfig, drop: Sequence[str] = ()) -> tuple[DataFr
     return clean, training, validation
 
 
+def save_etl_tables(spark: SparkSession, df: DataFrame, cfg: RunConfig, database: str, drop: Sequence[str] = ()) -> None:
+    """A3: the cleaned table and its two parts under names in ``database``.
+    One scan of the input writes the cleaned table; the parts come from it."""
+    from keelson.operators.profile import strict_drop
+    from keelson.sources import files as FL
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    FL.write_table(strict_drop(df, *drop) if drop else df, f"{database}.cleaned")
+    training, validation = SP.split_pair(FL.read_table(spark, f"{database}.cleaned"), cfg.keys, cfg.test_size, SP.ETL_SALT)
+    FL.write_table(training, f"{database}.training")
+    FL.write_table(validation, f"{database}.validation")
+
+
+def everything():
+    """A window over a handful of rows (one per family)."""
+    from pyspark.sql import Window
+
+    return Window.partitionBy()
+
+
 def make_splits(df: DataFrame, cfg: RunConfig, drop: Sequence[str] = (), persist: bool = True) -> Splits:
     """C1 + C2 (+C4): the fitting frames are persisted (spilling to disk) for
     the whole search, and released by :func:`release`.
 
-    A narrow input is spread over as many partitions as the cluster has
-    cores. (Measured at sf0.1 on 8 cores: one random-forest fit takes 26 s
-    on 1 partition, 10 s on 4 and 7 s on 8; a boosted fit 36 s on 1 and
-    20 s on 4 or 8. Fewer partitions per fit did not help when trials run
-    concurrently.)"""
+    A fitted forest depends on how its rows are dealt out (Spark samples per
+    partition), so the fitting frames are always dealt by row key over
+    ``cfg.fit_partitions`` partitions, whatever the files or the cluster look
+    like; the number is logged with each run. The fitting part carries only
+    what a fit reads; the test part keeps its keys."""
     cols = list(dict.fromkeys([*cfg.keys, *cfg.features, cfg.target]))
     _, training, validation = etl(df, cfg, drop)
     training = training.select(*cols)
     train, test = SP.split_pair(training, cfg.keys, cfg.test_size, SP.HOLDOUT_SALT)
     if persist:
-        # Every trial scans these frames many times (one pass per tree level
-        # or boosting round). An input with fewer partitions than the
-        # cluster has cores (one small file) would leave cores idle in every
-        # pass, so spread it once, by row key, before caching. Inputs that
-        # are already wide keep their layout (no shuffle).
-        try:
-            target = df.sparkSession.sparkContext.defaultParallelism
-            narrow = train.rdd.getNumPartitions() < target
-        except Exception:  # no RDD view (remote session): keep the layout
-            narrow = False
-        if narrow:
-            train = train.repartition(target, *cfg.keys)
-            test = test.repartition(max(1, target // 2), *cfg.keys)
+        train = train.repartition(cfg.fit_partitions, *cfg.keys).sortWithinPartitions(*cfg.keys).select(*cfg.features, cfg.target)
+        test = test.repartition(cfg.fit_partitions, *cfg.keys)
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
         test = test.persist(StorageLevel.MEMORY_AND_DISK)
     return Splits(training, validation.select(*cols), train, test)
@@ -92,27 +100,24 @@ class FamilyResult:
 
 
 def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, store: TrackingStore | None,
-                 experiment: str, max_evals: int, parallelism: int, space: dict | None = None,
-                 budget: M.Budget | None = None, artifacts: bool = True) -> FamilyResult:
+                 experiment: str, max_evals: int, parallelism: int, space: dict | None = None) -> FamilyResult:
     """One family: search (its own run), then refit and evaluate (a second
     run with parameters, metrics, model and artifacts), as the original did."""
     t0 = time.monotonic()
     run_name = RUN_NAMES[family]
     seed = cfg.seed
 
-    keeper = SR.BestModel()
-
     def _search():
         return SR.search(spark, family, s.train, s.test, cfg.features, cfg.target, max_evals,
-                         parallelism=parallelism, seed=seed, space=space, budget=budget, keeper=keeper)
+                         parallelism=parallelism, seed=seed, space=space)
 
     phases = {}
     if store is not None:
         with store.start_run(experiment, run_name) as r:
-            trials = _search().persist()
+            trials = _search()
             r.log_metric("n_trials", trials.count())
     else:
-        trials = _search().persist()
+        trials = _search()
     phases["search"] = time.monotonic() - t0
     from keelson.config import search_space_rows
     params = SR.best_params(trials, family, search_space_rows(family, space))
@@ -120,7 +125,7 @@ def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, st
 
     def _refit(run=None):
         model, spec, scored = SR.refit_and_score(family, params, s.train, s.test, cfg.features, cfg.target,
-                                                 seed=seed, budget=budget, keeper=keeper)
+                                                 seed=seed)
         scored = scored.select(*cfg.keys, cfg.target, "prediction").persist()
         m = EV.regression_metrics(scored, cfg.target, "prediction", len(cfg.features)).first().asDict()
         m["n_train"] = s.train.count()
@@ -129,6 +134,9 @@ def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, st
             run.log_params(params)
             for k, v in spec.flags.items():
                 run.log_param(f"flag.{k}", v)
+            run.log_param("fit_partitions", cfg.fit_partitions)
+            if spec.groups:
+                run.log_params({"thresholds": spec.thresholds, "threshold_groups": spec.groups})
             rep = EV.REPORT_DIGITS
             run.log_metric("MSE", m["mse"])
             for col, key in METRIC_NAMES.items():
@@ -139,15 +147,14 @@ def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, st
             run.log_metric("Dataset_Size", m["n_train"])
             run.log_metric("Number_of_variables", len(cfg.features))
             run.log_model(model, run_name)
-            if artifacts:
-                # Predictions (key + value) and residuals as files of the run
-                pred_uri = run.artifact_dir("predictions")
-                scored.select(*cfg.keys, "prediction").write.mode("overwrite").option("header", True).csv(pred_uri)
-                run.log_artifact("predictions", pred_uri)
-                res_uri = run.artifact_dir("residuals")
-                EV.with_residual(scored, cfg.target, "prediction").select(*cfg.keys, "residual") \
-                    .write.mode("overwrite").parquet(res_uri)
-                run.log_artifact("residuals", res_uri)
+            # Predictions (key + value) and residuals as files of the run
+            pred_uri = run.artifact_dir("predictions")
+            scored.select(*cfg.keys, "prediction").write.mode("overwrite").option("header", True).csv(pred_uri)
+            run.log_artifact("predictions", pred_uri)
+            res_uri = run.artifact_dir("residuals")
+            EV.with_residual(scored, cfg.target, "prediction").select(*cfg.keys, "residual") \
+                .write.mode("overwrite").parquet(res_uri)
+            run.log_artifact("residuals", res_uri)
         scored.unpersist()
         return m, spec.flags
 
@@ -158,7 +165,6 @@ def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, st
             run_id = r.run_id
     else:
         m, flags = _refit()
-    trials.unpersist()
     total = time.monotonic() - t0
     phases["track"] = total - phases["search"] - phases.get("refit_eval", 0.0)
     return FamilyResult(family, run_id, params, m, n_trials, total, flags,
@@ -169,8 +175,7 @@ def train_all(spark: SparkSession, df: DataFrame, cfg: RunConfig, store: Trackin
               experiment: str = "train", families: Sequence[str] = ("extra_trees", "xgboost", "random_forest",
                                                                      "lightgbm"),
               max_evals: int | None = None, parallelism: int | None = None, spaces: dict | None = None,
-              budget: M.Budget | None = None, drop: Sequence[str] = (),
-              family_parallelism: int = 1) -> tuple[DataFrame, float]:
+              drop: Sequence[str] = (), family_parallelism: int = 1) -> tuple[DataFrame, float]:
     """J1 + J3: every family on one cached split; results as one table
     (``unionByName`` of per-family rows) and the elapsed seconds, which is
     also logged as a metric of a pipeline run.
@@ -185,7 +190,7 @@ def train_all(spark: SparkSession, df: DataFrame, cfg: RunConfig, store: Trackin
 
     def one(fam):
         return train_family(spark, fam, s, cfg, store, experiment, max_evals or cfg.max_evals,
-                            parallelism or cfg.parallelism, (spaces or {}).get(fam), budget)
+                            parallelism or cfg.parallelism, (spaces or {}).get(fam))
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, family_parallelism)) as pool:

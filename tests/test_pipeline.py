@@ -10,17 +10,20 @@ from keelson.operators.tracking import TrackingStore, experiment_id_for
 from keelson.plans import score as SC
 from keelson.plans import select as SE
 from keelson.plans import train as TN
-from keelson.plans.ml_queries import CFG, QUICK_BUDGET, QUICK_SPACES
+from keelson.plans.ml_queries import CFG
 from keelson.sources import tables as TB
 
 
+SPACE = {"max_depth": ("choice", [4, 6, 8]), "n_estimators": ("choice", [10, 15])}
+
+
 def test_train_select_promote_score(spark, tmp_path):
     store = TrackingStore(spark, str(tmp_path / "track"))
     registry = ModelRegistry(spark, str(tmp_path / "reg"))
     s = TN.make_splits(TB.reg(spark, SF_SMALL), CFG)
     try:
         res = TN.train_family(spark, "random_forest", s, CFG, store, "train", max_evals=3, parallelism=3,
-                              space=QUICK_SPACES["random_forest"], budget=QUICK_BUDGET)
+                              space=SPACE)
     finally:
         TN.release(s)
     assert res.trials == 3 and res.metrics["r2"] > 0.9
