@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.operators.tracking import latest_by, latest_metrics
+from keelson.config import STAGES
+from keelson.operators.tracking import append_rows, latest_by, latest_metrics, read_appended
 
 VERSIONS = T.StructType([
     T.StructField("name", T.StringType()), T.StructField("version", T.LongType()),
@@ -105,7 +106,8 @@ def next_versions(existing: DataFrame, new: DataFrame) -> DataFrame:
 
     base = existing.groupBy("name").agg(F.max("version").alias("__base"))
     numbered = row_number_within(new, ["name"], ["created_at", "run_id"], out="__rn")
-    return (numbered.join(base, "name", "left")
+    base = base.withColumnRenamed("name", "__name")
+    return (numbered.join(base, F.col("name").eqNullSafe(F.col("__name")), "left")
             .select("name", (F.coalesce("__base", F.lit(0)) + F.col("__rn")).alias("version"),
                     "run_id", "source_uri", "created_at"))
 
@@ -126,16 +128,10 @@ class ModelRegistry:
         return f"{self.root}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        schema = self.TABLES[name]
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(name))
-        except Exception as e:
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return self.spark.createDataFrame([], schema)
-            raise
+        return read_appended(self.spark, self.path(name), self.TABLES[name])
 
     def _append(self, name: str, df: DataFrame) -> None:
-        df.coalesce(1).write.mode("append").parquet(self.path(name))
+        append_rows(df, self.path(name))
 
     @staticmethod
     def _now():
@@ -155,7 +151,9 @@ class ModelRegistry:
             [(name, int(version), description, self._now())], NOTES))
 
     def transition(self, name: str, version: int, stage: str) -> None:
-        """I3."""
+        """I3; stages other than the configured ones are refused."""
+        if stage not in STAGES:
+            raise ValueError(f"unknown stage {stage!r}; one of {STAGES}")
         self.append_events(self.spark.createDataFrame(
             [(name, int(version), stage)], "name string, version long, stage string"))
 
@@ -184,7 +182,9 @@ class ModelRegistry:
         vs = self.versions(name)
         cand = vs.filter(F.col("version") == candidate_version).select("name", "version", "run_id")
         cur = current_staging(vs, exclude=cand)
-        ev = promotion_events(compare(cand, cur, metrics, key)).persist()
-        if ev.limit(1).count():
+        # at most two rows
+        rows = promotion_events(compare(cand, cur, metrics, key)).collect()
+        ev = self.spark.createDataFrame(rows, "name string, version long, stage string, ord int")
+        if rows:
             self.append_events(ev)
         return ev

@@ -67,13 +67,14 @@ def latest_metrics(metrics: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
 
 def dedup_params(params: DataFrame) -> DataFrame:
     """H2: a key logged twice with the same value is one parameter; a key
-    logged with different values is flagged (the last value is kept)."""
-    order = ["ts"] + [c for c in ("tie1", "tie2") if c in params.columns]
-    latest = latest_by(params, ["run_id", "key"], order, ["value"])
-    counts = params.groupBy("run_id", "key").agg(
-        F.count(F.lit(1)).alias("n_logged"), F.count_distinct("value").alias("n_values"))
-    return (latest.join(counts, ["run_id", "key"])
-            .select("run_id", "key", "value", "n_logged", (F.col("n_values") > 1).alias("conflict")))
+    logged with different values is flagged (the last value is kept). One
+    aggregate: one scan, one shuffle."""
+    order = [F.col(c) for c in ("ts", "tie1", "tie2") if c in params.columns]
+    last = F.max(F.struct(*order, F.col("value").alias("value")))
+    return (params.groupBy("run_id", "key")
+            .agg(last.alias("__s"), F.count(F.lit(1)).alias("n_logged"), F.min("value").alias("__lo"), F.max("value").alias("__hi"))
+            .select("run_id", "key", F.col("__s.value").alias("value"), "n_logged",
+                    F.coalesce(F.col("__lo") != F.col("__hi"), F.lit(False)).alias("conflict")))
 
 
 def runs_wide(runs: DataFrame, metrics: DataFrame, metric_keys: Sequence[str] = METRIC_KEYS,
@@ -179,6 +180,28 @@ def experiment_id_for(name: str) -> int:
     return int(hashlib.md5(name.encode()).hexdigest()[:15], 16)
 
 
+def append_rows(df: DataFrame, path: str) -> None:
+    """Add rows to an append-only table: one new folder for every append, so
+    that writers never meet in one folder, whatever process they are in."""
+    df.coalesce(1).write.parquet(f"{path}/a-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
+
+
+def appended(spark: SparkSession, path: str) -> list[str]:
+    """The complete appends to a table."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return []
+    return sorted(str(s.getPath()) for s in fs.listStatus(root) if s.getPath().getName().startswith("a-")
+                  and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
+
+
+def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    folders = appended(spark, path)
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
 class TrackingStore:
     """Append-only run log on shared storage."""
 
@@ -186,48 +209,43 @@ class TrackingStore:
               "run_metrics": METRICS, "run_artifacts": ARTIFACTS}
 
     def __init__(self, spark: SparkSession, root: str):
-        import threading
-
         self.spark = spark
         self.root = root.rstrip("/")
-        # Appends from concurrent runs (threads of one driver) are serialised:
-        # two jobs committing into one folder at once can remove each other's
-        # temporary files.
-        self._lock = threading.RLock()
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def table(self, name: str) -> DataFrame:
-        schema = self.TABLES[name]
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(name))
-        except Exception as e:  # folder not written yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return self.spark.createDataFrame([], schema)
-            raise
+        return read_appended(self.spark, self.path(name), self.TABLES[name])
 
     def append(self, name: str, rows: list[tuple]) -> None:
         if rows:
-            with self._lock:
-                (self.spark.createDataFrame(rows, self.TABLES[name]).coalesce(1)
-                 .write.mode("append").parquet(self.path(name)))
-
-    def compact(self, name: str, target_bytes: int = 128 << 20) -> DataFrame:
-        """Rewrite an append-only table into files of about ``target_bytes``
-        (each run appends a small file). Staged, because the table is read
-        while it is rewritten."""
+            append_rows(self.spark.createDataFrame(rows, self.TABLES[name]), self.path(name))
+
+    def compact(self, name: str, target_bytes: int = 128 << 20) -> None:
+        """Gather the small folders of an append-only table in one with files
+        of about ``target_bytes``. Rows appended meanwhile stay where they are.
+        For the moment between the last two steps a reader sees gathered rows
+        twice, which "latest wins" does not mind; none is ever missing."""
         from keelson.session import input_bytes
-        from keelson.sources.files import overwrite_table
 
-        n_files = max(1, -(-input_bytes(self.spark, [self.path(name)]) // target_bytes))
-        return overwrite_table(self.spark, self.table(name).repartition(n_files), self.path(name))
+        folders = appended(self.spark, self.path(name))
+        if len(folders) < 2:
+            return
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        n_files = max(1, -(-input_bytes(self.spark, folders) // target_bytes))
+        new = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        hidden, shown = (jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{x}{new}") for x in ("_", "a-"))
+        self.spark.read.schema(self.TABLES[name]).parquet(*folders).repartition(n_files).write.parquet(str(hidden))
+        fs = hidden.getFileSystem(conf)
+        fs.rename(hidden, shown)
+        for f in folders:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f), True)
 
     def create_experiment(self, name: str) -> int:
         eid = experiment_id_for(name)
-        with self._lock:
-            if self.table("experiments").filter(F.col("experiment_id") == eid).limit(1).count() == 0:
-                self.append("experiments", [(eid, name, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))])
+        if self.table("experiments").filter(F.col("experiment_id") == eid).limit(1).count() == 0:
+            self.append("experiments", [(eid, name, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))])
         return eid
 
     @contextmanager

@@ -31,8 +31,6 @@ NUMERIC = TB.FEATURES + [TB.TARGET]
 KEY = TB.LINEITEM_KEY
 FINISHED_DAY = "1995-01-13"
 EXPERIMENT_NAME = "Customer#000000042"
-LOSS_BUDGET = 901.0
-STAGE_CUTOFF = "2024-01-01 01:00:00"
 HIST_BINS = 10
 PAIR_BINS = 10
 TVP_BINS = 20
@@ -306,13 +304,14 @@ def _sql_metrics(group: str | None, src: str) -> str:
     g = f"{group}, " if group else ""
     gb = f" GROUP BY {group}" if group else ""
     p = len(TB.FEATURES)
-    return f"""WITH a AS (SELECT {g}count(*) AS n, sum(power(charge - prediction, 2)) AS sse,
-  var_pop(charge) * count(charge) AS sst,
-  avg(abs(charge - prediction) / greatest(abs(charge), 2.220446049250313e-16)) AS mape_raw,
-  count(*) FILTER (WHERE charge = 0) AS n_zero_labels FROM ({src}){gb})
+    return f"""WITH src AS ({src}), c AS (SELECT {g}CASE WHEN prediction IS NOT NULL THEN charge END AS y,
+  CASE WHEN charge IS NOT NULL THEN prediction END AS p FROM src),
+a AS (SELECT {g}count(y) AS n, sum(power(y - p, 2)) AS sse, var_pop(y) * count(y) AS sst,
+  avg(abs(y - p) / greatest(abs(y), 2.220446049250313e-16)) AS mape_raw,
+  count(*) FILTER (WHERE y = 0) AS n_zero_labels, count(*) - count(y) AS n_incomplete FROM c{gb})
 SELECT {g}n, round(sse / n, 3) AS mse, round(sqrt(sse / n), 4) AS rmse, round(1 - sse / nullif(sst, 0), 8) AS r2,
   round(CASE WHEN n > {p} + 1 THEN 1 - (1 - (1 - sse / nullif(sst, 0))) * (n - 1) / (n - {p} - 1) END, 8) AS r2_adj,
-  round(mape_raw, 8) AS mape, n_zero_labels FROM a"""
+  round(mape_raw, 8) AS mape, n_zero_labels, n_incomplete FROM a"""
 
 
 def q_eval_metrics(spark, sf):
@@ -336,10 +335,10 @@ def q_eval_adjusted_r2(spark, sf):
     _prep(spark)
     p = len(TB.FEATURES)
     exact = EV.regression_metrics(TB.pred(spark, sf), TB.TARGET, "prediction", p)
-    r2c = F.round("r2", 2)
-    compat = 1 - (1 - r2c) * (F.col("n") - 1) / (F.col("n") - p - 1)
+    compat = EV.regression_metrics(TB.pred(spark, sf), TB.TARGET, "prediction", p, compat_rounding=True)
+    one = compat.select(F.round("r2_adj", 8).alias("c")).scalar()
     return exact.select("n", F.lit(p).alias("p"), F.round("r2", 8).alias("r2"), F.round("r2_adj", 8).alias("r2_adj"),
-                        r2c.alias("r2_2dp"), F.round(F.when(F.col("n") > p + 1, compat), 8).alias("r2_adj_compat"))
+                        F.round("r2", 2).alias("r2_2dp"), one.alias("r2_adj_compat"))
 
 
 SQL_EVAL_ADJUSTED_R2 = f"""WITH a AS (SELECT count(*) AS n, sum(power(charge - prediction, 2)) AS sse,
@@ -468,14 +467,23 @@ SELECT l.family, l.trial_id, l.param, sp.idx, sp.value
 FROM l JOIN sp ON l.family = sp.family AND l.param = sp.param AND l.value = sp.value"""
 
 
+# trials fail where the family's name has an even number of letters, or the size is odd
+FAILED_SQL = "(length(family) % 2 = 0 OR p_size % 2 = 1)"
+
+
+def _with_failures(tv):
+    failed = (F.length("family") % 2 == 0) | (F.col("p_size") % 2 == 1)
+    return tv.withColumn("status", F.when(failed, "fail").otherwise("ok"))
+
+
 def q_param_fallback(spark, sf):
     _prep(spark)
     tv = TB.trials_v(spark, sf)
     arr = F.array(*[F.struct(F.lit(p).alias("param"), F.col(p).cast("string").alias("value")) for p in SEARCH_PARAMS])
-    # defaults: the first trial of each family; best: the best trial within the loss budget
+    # defaults: the first trial of each family; best: the best of its successful trials
     first = (tv.groupBy("family").agg(F.min(F.struct("trial_id", *SEARCH_PARAMS)).alias("s")).select("family", "s.*"))
     defaults = first.select("family", F.explode(arr).alias("kv")).select("family", "kv.*")
-    best = SR.best_trial(tv.filter(F.col("loss") < LOSS_BUDGET), ["family"], SEARCH_PARAMS)
+    best = SR.best_trial(_with_failures(tv), ["family"], SEARCH_PARAMS)
     best_long = best.select("family", F.explode(arr).alias("kv")).select("family", "kv.*")
     return SR.with_defaults(best_long, defaults)
 
@@ -483,7 +491,7 @@ def q_param_fallback(spark, sf):
 SQL_PARAM_FALLBACK = f"""WITH tv AS ({TRIALS_SQL}),
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY trial_id) AS rn FROM tv) WHERE rn = 1),
 b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY loss, trial_id) AS rn FROM tv
-                     WHERE status = 'ok' AND loss < {LOSS_BUDGET}) WHERE rn = 1),
+                     WHERE {FAILED_SQL} IS NOT TRUE) WHERE rn = 1),
 d AS (""" + " UNION ALL ".join(f"SELECT family, '{p}' AS param, CAST({p} AS VARCHAR) AS value FROM f"
                                for p in SEARCH_PARAMS) + """),
 bl AS (""" + " UNION ALL ".join(f"SELECT family, '{p}' AS param, CAST({p} AS VARCHAR) AS value FROM b"
@@ -553,7 +561,8 @@ FROM ({EXPERIMENTS_SQL}) e LEFT JOIN c ON e.experiment_id = c.experiment_id"""
 def q_experiment_by_name(spark, sf):
     _prep(spark)
     ex = TR.experiment_by_name(TB.experiments_v(spark, sf), EXPERIMENT_NAME)
-    return TR.list_experiments(ex, TB.runs_v(spark, sf))
+    own = TB.runs_v(spark, sf).join(ex.select("experiment_id"), "experiment_id", "left_semi")
+    return TR.list_experiments(ex, own)
 
 
 SQL_EXPERIMENT_BY_NAME = f"SELECT * FROM ({SQL_EXPERIMENTS_LIST}) WHERE name = '{EXPERIMENT_NAME}'"
@@ -710,14 +719,10 @@ def q_current_staging(spark, sf):
 SQL_CURRENT_STAGING = f"SELECT name, max(version) AS cur_version FROM ({SQL_VERSIONS_STAGE}) WHERE stage = 'Staging' GROUP BY 1"
 
 
-def _comparison(spark, sf, cutoff: str | None = None):
-    st = TB.stages_v(spark, sf)
-    if cutoff:
-        st = st.filter(F.col("ts") < F.lit(cutoff).cast("timestamp"))
-    # versions feed the stage join, the candidate pick and the candidate
-    # exclusion: aggregate the stage log once and reuse it
-    versions = (TB.stages_v(spark, sf).groupBy("name", "version").agg(F.min("ts").alias("created_at"))
-                .withColumn("run_id", F.col("version"))).persist()
+def _comparison(spark, sf, unstaged: bool = False):
+    log = TB.stages_v(spark, sf)
+    versions = log.groupBy("name", "version").agg(F.min("ts").alias("created_at")).withColumn("run_id", F.col("version"))
+    st = log.filter((F.col("stage") != "Staging") | (F.length("name") % 2 == 0)) if unstaged else log
     vs = RG.versions_with_stage(versions, st)
     # candidate: the most recently registered version of each name
     cand = TR.latest_by(versions, ["name"], ["created_at", "version"], ["version", "run_id"])
@@ -725,8 +730,8 @@ def _comparison(spark, sf, cutoff: str | None = None):
     return RG.compare(cand, cur, TB.metrics_v(spark, sf), "MAPE", ties=["tie1", "tie2"])
 
 
-def _sql_comparison(cutoff: str | None = None) -> str:
-    st = f"SELECT * FROM ({STAGES_SQL})" + (f" WHERE ts < TIMESTAMP '{cutoff}'" if cutoff else "")
+def _sql_comparison(unstaged: bool = False) -> str:
+    st = f"SELECT * FROM ({STAGES_SQL})" + (" WHERE stage <> 'Staging' OR length(name) % 2 = 0" if unstaged else "")
     return f"""WITH v AS ({VERSIONS_SQL}),
 cs AS (SELECT name, version, stage FROM (SELECT name, version, stage,
        row_number() OVER (PARTITION BY name, version ORDER BY ts DESC, seq DESC) AS rn FROM ({st})) WHERE rn = 1),
@@ -770,10 +775,197 @@ SQL_PROMOTION_EVENTS = _sql_events(SQL_CHALLENGER_COMPARE)
 
 def q_bootstrap_stage(spark, sf):
     _prep(spark)
-    return RG.promotion_events(_comparison(spark, sf, cutoff=STAGE_CUTOFF))
+    return RG.promotion_events(_comparison(spark, sf, unstaged=True))
+
+
+SQL_BOOTSTRAP_STAGE = _sql_events(_sql_comparison(True))
+
+
+# --- written operators without a key of their own -----------------------------------
+
+def q_residual_summary(spark, sf):
+    """mean exactly; the approximate quantiles by the shares of residuals
+    below and up to each, which must enclose the one asked for."""
+    _prep(spark)
+    p = TB.pred(spark, sf)
+    s = EV.residual_summary(p, TB.TARGET, "prediction")
+    r = F.col("prediction") - F.col(TB.TARGET)
+    q = s.first()
+    wanted = (("p05", 0.05), ("p50", 0.5), ("p95", 0.95))
+    shares = p.agg(*[F.avg((r < F.lit(q[c])).cast("double")).alias(f"{c}_below") for c, _ in wanted],
+                   *[F.avg((r <= F.lit(q[c])).cast("double")).alias(f"{c}_to") for c, _ in wanted]).first()
+    near = all(shares[f"{c}_below"] <= x + 0.002 and shares[f"{c}_to"] >= x - 0.002 for c, x in wanted)
+    return s.select("n", F.round("mean", 4).alias("mean"), F.lit(near).alias("quantiles_near"))
+
+
+SQL_RESIDUAL_SUMMARY = f"SELECT count(*) AS n, round(avg(prediction - charge), 4) AS mean, true AS quantiles_near FROM ({PRED_SQL})"
+
+PARAM_KEYS = ["A", "N", "R"]
+
+
+def q_runs_with_params(spark, sf):
+    """H6 with its parameter pivot."""
+    _prep(spark)
+    out = TR.runs_wide(TB.runs_v(spark, sf).drop("metric"), TB.metrics_v(spark, sf), ["MAPE"], ties=["tie1", "tie2"],
+                       params=_params_v(spark, sf), param_keys=PARAM_KEYS)
+    return out.select("run_id", "metric_MAPE", *[f"param_{k}" for k in PARAM_KEYS])
+
+
+SQL_RUNS_WITH_PARAMS = (f"WITH l AS (SELECT run_id, key, value FROM (SELECT *, row_number() OVER (PARTITION BY run_id, key "
+                        f"ORDER BY ts DESC, tie1 DESC, tie2 DESC, value DESC) AS rn FROM ({PARAMS_SQL})) WHERE rn = 1), "
+                        "w AS (SELECT run_id, " + ", ".join(f"max(value) FILTER (WHERE key = '{k}') AS param_{k}" for k in PARAM_KEYS)
+                        + f" FROM l GROUP BY run_id) SELECT r.run_id, m.value AS metric_MAPE, "
+                        + ", ".join(f"w.param_{k}" for k in PARAM_KEYS) + f" FROM ({RUNS_SQL}) r LEFT JOIN w ON r.run_id = w.run_id "
+                        f"LEFT JOIN (SELECT * FROM ({LATEST_METRICS_SQL}) WHERE key = 'MAPE') m ON r.run_id = m.run_id")
+
+ONE_MODEL = "click"
+
+
+def q_versions_of_model(spark, sf):
+    """The versions of one named model, with their stages."""
+    _prep(spark)
+    named = TB.stages_v(spark, sf).filter(F.col("name") == ONE_MODEL)
+    versions = named.groupBy("name", "version").agg(F.min("ts").alias("created_at"))
+    return RG.versions_with_stage(versions, named).select("name", "version", "stage")
+
+
+SQL_VERSIONS_OF_MODEL = f"SELECT * FROM ({SQL_VERSIONS_STAGE}) WHERE name = '{ONE_MODEL}'"
+
+
+def q_register_on_existing(spark, sf):
+    """I1 on top of versions that are there: the earlier half of the time
+    range is registered first, the rest goes on from its numbers."""
+    _prep(spark)
+    new = _versions(spark, sf).select("name", F.col("version").cast("string").alias("run_id"),
+                                      F.lit(None).cast("string").alias("source_uri"), "created_at")
+    middle = new.agg((F.avg(F.unix_micros("created_at"))).alias("m")).first()["m"]
+    early = F.unix_micros("created_at") < F.lit(middle)
+    old = RG.next_versions(spark.createDataFrame([], RG.VERSIONS), new.filter(early))
+    out = old.unionByName(RG.next_versions(old, new.filter(~early)))
+    return out.select("name", F.col("run_id").cast("long").alias("source_version"), "version")
+
+
+SQL_REGISTER_ON_EXISTING = f"SELECT name, source_version, version FROM ({SQL_REGISTER_VERSIONS})"
+
+
+def q_stage_store(spark, sf):
+    """I3 through the store: the promotion events are appended to a registry
+    that holds the log, and the stages are read back from it."""
+    _prep(spark)
+    registry = RG.ModelRegistry(spark, S.work_dir(spark, "registry"))
+    registry._append("stage_events", TB.stages_v(spark, sf).select("name", "version", "stage", "ts", "seq"))
+    registry.append_events(RG.promotion_events(_comparison(spark, sf)))
+    return RG.current_stage(registry.table("stage_events")).select("name", "version", "stage")
+
+
+SQL_STAGE_STORE = f"""WITH e AS ({SQL_PROMOTION_EVENTS})
+SELECT coalesce(e.name, c.name) AS name, coalesce(e.version, c.version) AS version, coalesce(e.stage, c.stage) AS stage
+FROM ({CURRENT_STAGE_SQL}) c FULL JOIN e ON e.name = c.name AND e.version = c.version"""
+
+
+# --- the same operators over missing, NaN and repeated values ------------------------
+
+def _messy(spark, sf):
+    """The scored table; every 7th order's price is NULL and every 11th's NaN,
+    and so are what derives from it; every 13th order has no prediction."""
+    k = F.col("l_orderkey")
+    price = F.when(k % 7 == 0, F.lit(None)).when(k % 11 == 0, F.lit(float("nan"))).otherwise(F.col("l_extendedprice"))
+    r = TB.pred(spark, sf).withColumn("l_extendedprice", price.cast("double"))
+    return r.withColumn("charge", F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).withColumn(
+        "prediction", F.when(k % 13 != 0, F.col("prediction")))
+
+
+MESSY_SQL = """SELECT l_orderkey, l_quantity, l_discount, l_tax, l_returnflag,
+  CASE WHEN l_orderkey % 7 <> 0 AND l_orderkey % 11 <> 0 THEN l_extendedprice END AS l_extendedprice,
+  CASE WHEN l_orderkey % 7 <> 0 AND l_orderkey % 11 <> 0 THEN l_extendedprice * (1 - l_discount) * (1 + l_tax) END AS charge,
+  CASE WHEN l_orderkey % 13 <> 0 THEN l_extendedprice * (1 - l_discount) END AS prediction
+FROM lineitem"""
+
+
+def q_profile_hist_messy(spark, sf):
+    _prep(spark)
+    return PR.histogram(_messy(spark, sf), NUMERIC, HIST_BINS).withColumnRenamed("column", "col_name")
+
+
+def q_profile_corr_messy(spark, sf):
+    _prep(spark)
+    return PR.correlation(_messy(spark, sf), NUMERIC).withColumn("r", F.round("r", 6))
+
+
+def q_profile_normality_messy(spark, sf):
+    _prep(spark)
+    out = PR.normality(_messy(spark, sf), NUMERIC)
+    return out.select(F.col("column").alias("col_name"), "n", F.round("mean", 4).alias("mean"),
+                      F.round("stddev", 4).alias("stddev"), F.round("skewness", 6).alias("skewness"),
+                      F.round("kurtosis", 6).alias("kurtosis"), F.round("jarque_bera", 3).alias("jarque_bera"))
+
+
+def q_profile_category_messy(spark, sf):
+    _prep(spark)
+    out = PR.category_profile(_messy(spark, sf), TB.CATEGORY, TB.TARGET)
+    return out.select("l_returnflag", "n", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"),
+                      F.round("eta2", 8).alias("eta2"))
+
+
+def q_eval_metrics_messy(spark, sf):
+    _prep(spark)
+    return EV.regression_metrics(_messy(spark, sf), TB.TARGET, "prediction", len(TB.FEATURES), digits=METRIC_DIGITS)
+
+
+SQL_PROFILE_HIST_MESSY = SQL_PROFILE_HIST.replace(REG_SQL, MESSY_SQL)
+SQL_PROFILE_CORR_MESSY = (f"WITH reg AS ({MESSY_SQL}) " + " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, " + ("CASE WHEN stddev_pop(" + a + ") > 0 THEN 1.0::DOUBLE END" if a == b else
+                                                  f"round({_sql_r(a, b)}, 6)")
+    + f" AS r FROM reg WHERE {a} IS NOT NULL AND {b} IS NOT NULL" for a in NUMERIC for b in NUMERIC))
+SQL_PROFILE_NORMALITY_MESSY = SQL_PROFILE_NORMALITY.replace(REG_SQL, MESSY_SQL)
+SQL_PROFILE_CATEGORY_MESSY = SQL_PROFILE_CATEGORY.replace(REG_SQL, MESSY_SQL)
+SQL_EVAL_METRICS_MESSY = _sql_metrics(None, MESSY_SQL)
+
+
+def q_holdout_exact_messy(spark, sf):
+    """Two key columns, one of them NULL for every third order."""
+    _prep(spark)
+    o = TB.table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")).alias("cust"))
+    out = SP.exact_holdout(o, ["cust", "o_orderkey"], 0.5, SP.HOLDOUT_SALT)
+    return out.select("o_orderkey", F.col("cust").isNull().alias("no_cust"), "split")
+
+
+SQL_HOLDOUT_EXACT_MESSY = f"""WITH t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS cust FROM orders),
+h AS (SELECT *, {sql_hash32(['cust', 'o_orderkey'], 'holdout', 0)} AS ha, {sql_hash32(['cust', 'o_orderkey'], 'holdout', 1)} AS hb FROM t),
+r AS (SELECT *, row_number() OVER (ORDER BY ha, hb, cust NULLS FIRST, o_orderkey) AS rn, count(*) OVER () AS n FROM h)
+SELECT o_orderkey, cust IS NULL AS no_cust, CASE WHEN rn <= ceil(n * 0.5) THEN 'test' ELSE 'train' END AS split FROM r"""
+
+
+def q_suggest_density_messy(spark, sf):
+    """Trials of no family, and values that are missing."""
+    _prep(spark)
+    tv = TB.trials_v(spark, sf).withColumn("family", F.when(F.col("trial_id") % 3 != 0, F.col("family"))).withColumn(
+        "p_size", F.when(F.col("trial_id") % 5 != 0, F.col("p_size")))
+    arr = F.array(*[F.struct(F.lit(p).alias("param"), F.col(p).cast("string").alias("value")) for p in SUGGEST_PARAMS])
+    long = tv.select("family", "trial_id", "loss", F.explode(arr).alias("kv")).select("family", "trial_id", "loss", "kv.*")
+    out = SR.suggest(long, ["family"], gamma=0.25)
+    return out.select("family", "param", "value", F.round("score", 9).alias("score"), "n_good", "n_bad")
+
+
+SQL_SUGGEST_DENSITY_MESSY = (SQL_SUGGEST_DENSITY.replace(TRIALS_SQL, f"""SELECT CASE WHEN trial_id % 3 <> 0 THEN family END AS family, trial_id, p_brand,
+  CASE WHEN trial_id % 5 <> 0 THEN p_size END AS p_size, loss FROM ({TRIALS_SQL})""")
+                             .replace("l.family = lab.family", "l.family IS NOT DISTINCT FROM lab.family")
+                             .replace("pv.family = k.family", "pv.family IS NOT DISTINCT FROM k.family")
+                             .replace("ORDER BY score DESC, value)", "ORDER BY score DESC, value NULLS FIRST)"))
+
+
+def q_register_versions_messy(spark, sf):
+    """Models without a name are numbered as one name."""
+    _prep(spark)
+    v = _versions(spark, sf).withColumn("name", F.when(F.col("name") != ONE_MODEL, F.col("name")))
+    new = v.select("name", F.col("version").cast("string").alias("run_id"), F.lit(None).cast("string").alias("source_uri"), "created_at")
+    out = RG.next_versions(spark.createDataFrame([], RG.VERSIONS), new)
+    return out.select("name", F.col("run_id").cast("long").alias("source_version"), "version")
 
 
-SQL_BOOTSTRAP_STAGE = _sql_events(_sql_comparison(STAGE_CUTOFF))
+SQL_REGISTER_VERSIONS_MESSY = f"""SELECT name, version AS source_version,
+  CAST(row_number() OVER (PARTITION BY name ORDER BY created_at, CAST(version AS VARCHAR)) AS BIGINT) AS version
+FROM (SELECT CASE WHEN name <> '{ONE_MODEL}' THEN name END AS name, version, created_at FROM ({VERSIONS_SQL}))"""
 
 
 # --- J: leaderboard --------------------------------------------------------------
@@ -840,4 +1032,17 @@ SQL_QUERIES: dict[str, tuple[SparkQuery, str]] = {
     "promotion_events": (q_promotion_events, SQL_PROMOTION_EVENTS),
     "bootstrap_stage": (q_bootstrap_stage, SQL_BOOTSTRAP_STAGE),
     "leaderboard": (q_leaderboard, SQL_LEADERBOARD),
+    "residual_summary": (q_residual_summary, SQL_RESIDUAL_SUMMARY),
+    "runs_with_params": (q_runs_with_params, SQL_RUNS_WITH_PARAMS),
+    "versions_of_model": (q_versions_of_model, SQL_VERSIONS_OF_MODEL),
+    "register_on_existing": (q_register_on_existing, SQL_REGISTER_ON_EXISTING),
+    "stage_store": (q_stage_store, SQL_STAGE_STORE),
+    "profile_hist_messy": (q_profile_hist_messy, SQL_PROFILE_HIST_MESSY),
+    "profile_corr_messy": (q_profile_corr_messy, SQL_PROFILE_CORR_MESSY),
+    "profile_normality_messy": (q_profile_normality_messy, SQL_PROFILE_NORMALITY_MESSY),
+    "profile_category_messy": (q_profile_category_messy, SQL_PROFILE_CATEGORY_MESSY),
+    "eval_metrics_messy": (q_eval_metrics_messy, SQL_EVAL_METRICS_MESSY),
+    "holdout_exact_messy": (q_holdout_exact_messy, SQL_HOLDOUT_EXACT_MESSY),
+    "suggest_density_messy": (q_suggest_density_messy, SQL_SUGGEST_DENSITY_MESSY),
+    "register_versions_messy": (q_register_versions_messy, SQL_REGISTER_VERSIONS_MESSY),
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -79,17 +78,12 @@ def work_dir(spark: SparkSession, name: str = "work") -> str:
     """A fresh folder on shared storage for tables and files a job writes.
 
     ``keelson.work.dir`` wins; otherwise a sub-folder of the checkpoint
-    folder. Each call returns a new, unique path (nothing is ever cleared).
+    folder. Each call returns a new, unique path; Spark's writers make it.
     """
     root = spark.conf.get("keelson.work.dir", None)
     if not root:
         root = checkpoint_dir(spark).rstrip("/") + "/keelson"
-    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:

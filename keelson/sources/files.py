@@ -3,6 +3,7 @@ prediction CSV sink (A4)."""
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -23,37 +24,48 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return reader.csv(path)
 
 
-def _norm_path(p: str) -> str:
-    """Scheme-free, single-slash form: 'file:///a/b', 'file:/a/b' and '/a/b'
-    are the same local path."""
-    import re
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """A2: a saved table by name."""
+    return spark.read.table(name)
 
-    p = re.sub(r"^file:", "", p)
-    p = re.sub(r"^/+", "/", p)
-    return p.rstrip("/")
 
-
-def _reads_from(df: DataFrame, path: str) -> bool:
-    target = _norm_path(path)
-    try:
-        files = df.inputFiles()
-    except Exception:
-        return True  # unknown: stage to be safe
-    return any(_norm_path(f) == target or _norm_path(f).startswith(target + "/") for f in files)
+def write_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
+    """A3: (re)place the named table. Not for a plan that reads the same
+    table; :func:`overwrite_table` keeps versions for that."""
+    df.write.mode("overwrite").format(fmt).saveAsTable(name)
 
 
 def overwrite_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
-    """A3: replace the table at ``path`` with ``df``.
-
-    Spark refuses to overwrite a table that the same plan reads; in that
-    case the new version is first written to a staging folder next to it and
-    then copied over. Returns the table as now stored."""
-    if _reads_from(df, path):
-        staged = f"{path.rstrip('/')}__staged-{uuid.uuid4().hex[:10]}"
-        df.write.mode("overwrite").format(fmt).save(staged)
-        df = spark.read.format(fmt).load(staged)
-    df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
+    """A3: make ``df`` the current version of the table at ``path``.
+
+    Every version is a folder of its own below ``path``, written once, and so
+    may be computed from the version before. Its name, which sorts after all
+    earlier ones, counts only once the writer's success mark is there: a reader
+    sees the old version or the new one, never none. Old versions stay for
+    readers that still use them."""
+    version = f"{path.rstrip('/')}/v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.format(fmt).save(version)
+    return spark.read.format(fmt).load(version)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the table's newest complete version."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return None
+    done = [str(s.getPath()) for s in fs.listStatus(root) if s.getPath().getName().startswith("v=")
+            and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    return max(done, default=None)
+
+
+def read_version(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The table at ``path`` as :func:`overwrite_table` last left it."""
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no complete version of {path}")
+    return spark.read.format(fmt).load(version)
 
 
 def write_predictions_csv(scored: DataFrame, keys: Sequence[str], path: str,

@@ -13,17 +13,17 @@ from keelson.operators import registry as RG
 from keelson.operators import tracking as TR
 
 
-def fish_rows(spark):
-    # Rows of the original fixture's shape, including one zero target.
-    rows = [("Bream", 242.0, 23.2, 25.4, 30.0, 11.52, 4.02), ("Roach", 0.0, 19.0, 20.5, 22.8, 6.4752, 3.3516),
-            ("Perch", 5.9, 7.5, 8.4, 8.8, 2.112, 1.408), ("Pike", 1650.0, 59.0, 63.4, 68.0, 10.812, 7.48),
-            ("Smelt", 19.9, 13.8, 15.0, 16.2, 2.9322, 1.8792), ("Parkki", 55.0, 13.5, 14.7, 16.5, 6.8475, 2.3265)]
+def measured_rows(spark):
+    # invented measurements, one zero target
+    rows = [("A", 310.0, 21.0, 23.5, 27.0, 9.1, 3.9), ("B", 0.0, 17.5, 19.0, 21.5, 6.0, 3.1),
+            ("C", 8.0, 8.1, 9.0, 9.6, 2.3, 1.5), ("D", 1500.0, 55.0, 60.0, 64.0, 10.0, 7.0),
+            ("E", 21.0, 13.0, 14.2, 15.9, 2.8, 1.8), ("F", 60.0, 14.0, 15.1, 17.0, 6.7, 2.4)]
     return spark.createDataFrame(rows, "Species string, Weight double, Length1 double, Length2 double, "
                                        "Length3 double, Height double, Width double")
 
 
 def test_strict_drop(spark):
-    df = fish_rows(spark)
+    df = measured_rows(spark)
     assert "Species" not in PR.strict_drop(df, "Species").columns
     with pytest.raises(ValueError):
         PR.strict_drop(df, "Nope")
@@ -81,7 +81,7 @@ def test_correlation_pairwise_complete(spark):
 
 
 def test_missing_and_zero_counts(spark):
-    df = fish_rows(spark)
+    df = measured_rows(spark)
     z = {r["column"]: r["n_zero"] for r in PR.zero_counts(df).collect()}
     assert z["Weight"] == 1 and z["Length1"] == 0
     m = {r["column"]: r["n_missing"] for r in PR.missing_counts(df).collect()}
@@ -198,24 +198,93 @@ def test_candidate_already_staged_is_not_its_own_rival(spark):
 def test_csv_with_bom_and_staged_overwrite(spark, tmp_path):
     from keelson.sources import files as FL
 
-    p = tmp_path / "fish.csv"
-    p.write_bytes("﻿Species,Weight,Length1\nBream,242,23.2\nRoach,0,19.0\n".encode("utf-8"))
+    p = tmp_path / "rows.csv"
+    p.write_bytes("﻿Species,Weight,Length1\nA,242,23.2\nB,0,19.0\n".encode("utf-8"))
     df = FL.read_csv(spark, str(p), "Species string, Weight double, Length1 double")
     assert df.columns == ["Species", "Weight", "Length1"]
-    assert [r["Species"] for r in df.collect()] == ["Bream", "Roach"]
+    assert [r["Species"] for r in df.collect()] == ["A", "B"]
     inferred = FL.read_csv(spark, str(p), infer=True)
     assert inferred.columns[0] == "Species"
     out = str(tmp_path / "t")
+    assert FL.current_version(spark, out) is None
     FL.overwrite_table(spark, df, out)
-    cur = spark.read.parquet(out)
+    cur = FL.read_version(spark, out)
     again = FL.overwrite_table(spark, cur.withColumn("Weight", F.col("Weight") + 1), out)
     assert sorted(r["Weight"] for r in again.collect()) == [1.0, 243.0]
+    assert sorted(r["Weight"] for r in FL.read_version(spark, out).collect()) == [1.0, 243.0]
+    assert sorted(r["Weight"] for r in cur.collect()) == [0.0, 242.0]  # a reader of the old version still has it
+    # a version without its success mark does not count
+    import os
 
+    os.makedirs(f"{out}/v=99999999999999999999-half")
+    assert "half" not in FL.current_version(spark, out)
 
-def test_path_normalisation():
-    from keelson.sources.files import _norm_path
 
-    assert _norm_path("file:///tmp/a/b/") == _norm_path("file:/tmp/a/b") == _norm_path("/tmp/a/b")
+def test_metrics_use_complete_rows_only(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 2.0), (5.0, None), (None, 1.0), (9.0, nan), (nan, 2.0)], "y double, p double")
+    m = EV.regression_metrics(df, "y", "p", 0).first()
+    assert (m["n"], m["n_incomplete"], m["mse"], m["r2"]) == (2, 4, 1.0, 0.0)
+    s = EV.residual_summary(df, "y", "p").first()
+    assert s["n"] == 2 and s["mean"] == 0.0
+
+
+def test_nan_is_missing_in_every_profile(spark):
+    df = spark.createDataFrame([(float(i), float(i) * 2) for i in range(10)] + [(float("nan"), 1.0), (None, 2.0)], "a double, b double")
+    clean = df.filter("a is not null and not isnan(a)")
+    assert PR.correlation(df, ["a", "b"]).filter("col_a <> col_b").first()["r"] == pytest.approx(1.0)
+    key = lambda d: sorted(map(tuple, d.filter("column = 'a'").collect()))
+    assert key(PR.histogram(df, ["a"], 5)) == key(PR.histogram(clean, ["a"], 5))
+    assert key(PR.normality(df, ["a"])) == key(PR.normality(clean, ["a"]))
+
+
+def test_exact_holdout_with_null_and_repeated_keys(spark):
+    from keelson.operators import split as SP
+
+    nulls = spark.createDataFrame([(i if i % 2 else None, i) for i in range(50)], "a long, b long")
+    out = SP.exact_holdout(nulls, ["a", "b"], 0.5)
+    assert out.count() == 50 and out.filter("split = 'test'").count() == 25
+    twice = spark.createDataFrame([(i // 2,) for i in range(40)], "a long")
+    assert SP.exact_holdout(twice, ["a"], 0.5).filter("split = 'test'").count() == 20
+    with pytest.raises(ValueError):
+        SP.exact_holdout(twice, ["a"], 0.525)  # 21 rows: one of a pair
+    assert SP.exact_holdout(nulls.limit(0), ["a"], 0.5).count() == 0
+
+
+def test_row_numbers_of_a_null_group(spark):
+    from keelson.functions.ranking import row_number_within
+
+    df = spark.createDataFrame([(None, 3), (None, 1), ("x", 2), ("x", 5), ("y", 1), (None, 2)], "g string, v int")
+    got = sorted(map(str, (tuple(r) for r in row_number_within(df, ["g"], ["v"], size="n").collect())))
+    assert got == sorted(map(str, [(None, 1, 1, 3), (None, 2, 2, 3), (None, 3, 3, 3), ("x", 2, 1, 2), ("x", 5, 2, 2), ("y", 1, 1, 1)]))
+
+
+def test_forest_reads_every_feature_unless_told(spark):
+    est = M.build("random_forest", {"n_estimators": 3}, ["x"], "y").pipeline.getStages()[1]
+    assert est.getFeatureSubsetStrategy() == "all" and est.getNumTrees() == 3 and est.getMaxDepth() == 30
+    assert M.build("random_forest", {}, ["x"], "y").pipeline.getStages()[1].getNumTrees() == 100
+
+
+def test_leafwise_trial_and_refit_settings():
+    trial = M.build("lightgbm", {"n_estimators": 280, "num_leaves": 20}, ["x"], "y")
+    refit = M.build("lightgbm", {"n_estimators": 280, "num_leaves": 20}, ["x"], "y", refit=True)
+    assert (trial.spark_params["maxIter"], trial.spark_params["minInstancesPerNode"], trial.patience) == (200, 100, 200)
+    assert (refit.spark_params["maxIter"], refit.spark_params["minInstancesPerNode"], refit.patience) == (280, 20, 100)
+
+
+def test_stop_round_waits_for_its_patience():
+    assert M.stop_round([5, 4, 3, 2, 1], 2) == 5  # still improving: never cut
+    assert M.stop_round([5, 4, 4, 4, 1], 3) == 5
+    assert M.stop_round([5, 4, 4, 4, 1], 2) == 2
+    assert M.stop_round([5], 1) == 1
+
+
+def test_narrowed_space_refuses_other_values():
+    from keelson.plans.ml_queries import narrowed
+
+    assert narrowed("xgboost", max_depth=[4])["max_depth"] == ("choice", [4])
+    with pytest.raises(ValueError):
+        narrowed("xgboost", max_depth=[5])
 
 
 def test_clamped_configs_are_one_trial():
