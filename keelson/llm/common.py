@@ -15,9 +15,22 @@ from pyspark.sql import types as T
 from keelson.session import checkpoint_dir
 
 
+#: rows of text that go to a Python worker at a time
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower Spark's rows per Arrow batch where it is higher: whole texts, of
+    which some are very long, stand in a batch, on both sides of the pipe."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def id_and_bytes(docs: DataFrame, *more: Column) -> DataFrame:
     """``doc_id`` and the UTF-8 bytes of ``text`` (null: empty), and nothing
     else of the input: extra columns with clashing names never get in the way."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), *more)
 

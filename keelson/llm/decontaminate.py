@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.llm.common import Shared, id_and_bytes, table
+from keelson.llm.common import Shared, small_batches, table
 
 WINDOW = 10
 # words: digits, a-z and every non-ASCII character, after lower-casing A-Z
@@ -180,6 +180,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_c
     items found, the text without those spans, and ``rejected``: whether more
     than ``max_coverage`` of its words are hit. ``keep`` names input columns to
     carry along."""
+    small_batches(docs.sparkSession)
     items = items.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     out = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), "text",
                                *[F.col(c) for c in keep if c not in ("doc_id", "text")]).alias("doc"))
