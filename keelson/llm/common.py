@@ -47,6 +47,15 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """As :func:`saved`, but as a Parquet table in that folder. The planner
+    then knows the table's true size, where a checkpoint hands on an estimate;
+    over rounds of joins those multiply beyond any number."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fold(doc_id: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id folds to 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % parts, F.lit(0)).cast("int")
