@@ -195,7 +195,7 @@ class RunConfig:
     model_name: str = MODEL_CONFIG["REGISTER_MODEL_NAME"]
     seed: int = 42
     # partitions a fit works on: part of the model, like the seed
-    fit_partitions: int = 16
+    fit_partitions: int = 8
 
 
 def _vtype(v) -> str:
