@@ -21,6 +21,8 @@ from keelson.session import work_dir
 
 #: a document is dropped when test items cover more of its words than this
 MAX_COVERAGE = 0.8
+#: near copies share this much of the union of their sets of shingles of so many words
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
@@ -36,7 +38,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return one_of_each(docs)
+    return one_of_each(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

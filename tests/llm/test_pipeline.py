@@ -81,3 +81,14 @@ def test_toxic_documents_go(spark, stages):
     left = {r["doc_id"] for r in stages["toxicity"].collect()}
     clean = [i for i, t in labels.items() if not t]
     assert sum(i in left for i in clean) >= 0.95 * len(clean)
+
+
+def test_near_copies_by_five_words_and_four_fifths(spark):
+    """A tenth of new words at the end: 0.8 <= J5 and J3 < 0.9, so the copy goes."""
+    from helpers import docs_of
+
+    cp = importlib.import_module("corpus_pipeline")
+    base = [f"w{k}" for k in range(100)]
+    texts = [(1, " ".join(base)), (2, " ".join(base + [f"new{k}" for k in range(14)])),
+             (3, " ".join(f"v{k}" for k in range(100))), (4, " ".join([f"v{k}" for k in range(100)] + [f"far{k}" for k in range(30)]))]
+    assert sorted(r["doc_id"] for r in cp.drop_near_copies(spark, docs_of(spark, texts), SF).collect()) == [1, 3, 4]
