@@ -8,7 +8,8 @@ automaton back to its root, so only runs of known words are streamed.
 
 The automaton travels with the tasks: items are dealt into blocks of at most
 ``block_bytes`` of text, one pass over the documents for each block (one, for
-any benchmark under that size).
+any benchmark under that size). Texts are cut from the hits of all blocks; the
+texts that were cut are looked at again by all blocks.
 
 Cases: null text has no words; items without words take no part; items with a
 null id mark words but are not listed; repeated items count once by id; an
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.llm.common import Shared, small_batches, table
+from keelson.llm.common import Shared, small_batches, table, written
 
 WINDOW = 10
 # words: digits, a-z and every non-ASCII character, after lower-casing A-Z
@@ -153,14 +154,18 @@ def spans_of(text: bytes, hit: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    parts, a = [], 0
+    for s, e in spans:
+        parts.append(text[a:s])
+        a = e
+    return b" ".join([*parts, text[a:]])
+
+
 def cleaned(text: bytes, hit: np.ndarray, automaton: SuffixAutomaton) -> bytes:
     """The text without its hit spans; what joins at a cut is looked at again."""
     while hit.any():
-        parts, a = [], 0
-        for s, e in spans_of(text, hit):
-            parts.append(text[a:s])
-            a = e
-        text = b" ".join([*parts, text[a:]])
+        text = cut(text, spans_of(text, hit))
         hit, _ = automaton.match(words_of(text))
     return text
 
@@ -185,59 +190,99 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_c
     out = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), "text",
                                *[F.col(c) for c in keep if c not in ("doc_id", "text")]).alias("doc"))
     blocks = item_blocks(items, block_bytes)
-    frames = []
+    shared = []
     for b in blocks:
         own = items if len(blocks) == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(len(blocks))) == b)
         listed = [(r["item_id"], words_of(r["text"].encode())) for r in own.toLocalIterator()]
-        automaton = SuffixAutomaton(listed, window)
-        shared = Shared(docs.sparkSession, automaton)
-        frames.append(_pass(out, shared))
-        out = frames[-1]
+        shared.append(Shared(docs.sparkSession, SuffixAutomaton(listed, window)))
+    out = _pass(out, shared[0]) if len(blocks) == 1 else _passes(out, shared)
     return out.select("doc.*", "n_words", "n_hit", "hits", "items", "clean",
                       (F.col("n_hit") > F.col("n_words") * max_coverage).alias("rejected"))
 
 
-def _pass(df: DataFrame, shared) -> DataFrame:
-    """One block of items over all documents. After an earlier block, hits are
-    added up on the original text and the cleaned text is cleaned further."""
-    later = "clean" in df.columns
-    fields = T.StructType([df.schema["doc"], T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
-                           T.StructField("hits", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
-                           T.StructField("items", T.ArrayType(T.StringType())), T.StructField("clean", T.StringType())])
+SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _schema(df: DataFrame, *more: T.StructField) -> T.StructType:
+    return T.StructType([df.schema["doc"], T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("hits", SPANS),
+                         T.StructField("items", T.ArrayType(T.StringType())), T.StructField("clean", T.StringType()), *more])
 
+
+def _structs(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
+    return [{"start": s, "end": e} for s, e in spans]
+
+
+def _pass(df: DataFrame, shared) -> DataFrame:
+    """All items, as one block, over all documents."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shared.value
         for batch in batches:
             doc = batch.column(batch.schema.get_field_index("doc"))
-            old = batch.to_pydict() if later else None
-            texts = doc.field("text").cast(pa.binary()).to_pylist()
             n_words, n_hit, hits, items, clean = [], [], [], [], []
-            for i, text in enumerate(texts):
+            for text in doc.field("text").cast(pa.binary()).to_pylist():
                 words = words_of(text or b"")
                 hit, found = automaton.match(words)
                 found.discard(None)
-                rest = text
-                if later:
-                    for s in old["hits"][i]:
-                        hit |= _inside(text, s["start"], s["end"])
-                    found |= set(old["items"][i])
-                    rest = None if text is None else old["clean"][i].encode()
-                    if rest is not None:
-                        rest = cleaned(rest, automaton.match(words_of(rest))[0], automaton)
-                elif text is not None and hit.any():
-                    rest = cleaned(text, hit, automaton)
+                rest = cleaned(text, hit, automaton) if text is not None and hit.any() else text
                 n_words.append(len(words))
                 n_hit.append(int(hit.sum()))
-                hits.append([{"start": s, "end": e} for s, e in spans_of(text, hit)] if hit.any() else [])
+                hits.append(_structs(spans_of(text, hit)) if hit.any() else [])
                 items.append(sorted(found))
                 clean.append(None if rest is None else rest.decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays(
-                [doc, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
-                 pa.array(hits, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                [doc, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(hits, ARROW_SPANS),
                  pa.array(items, pa.list_(pa.string())), pa.array(clean, pa.string())],
                 ["doc", "n_words", "n_hit", "hits", "items", "clean"])
 
-    return df.mapInArrow(run, fields)
+    return df.mapInArrow(run, _schema(df))
+
+
+def _passes(df: DataFrame, blocks: list) -> DataFrame:
+    """Many blocks of items, with the result of one: the hits of all blocks
+    are collected before a text is cut, and the texts that were cut are looked
+    at again, by all blocks, until no block hits."""
+    df = df.select("doc", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.array().cast(SPANS).alias("hits"),
+                   F.array().cast("array<string>").alias("items"), F.col("doc.text").alias("clean"),
+                   F.lit(True).alias("open"), F.array().cast(SPANS).alias("spans"))
+    first = True
+    while first or not df.filter("open").isEmpty():
+        for k, shared in enumerate(blocks):
+            df = _marked(df, shared, first, k == len(blocks) - 1)
+        df, first = written(df), False
+    return df
+
+
+def _marked(df: DataFrame, shared, first: bool, last: bool) -> DataFrame:
+    """One block's hits in the open texts, added to ``spans``; after the last
+    block the texts are cut, and those that were stay open."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = shared.value
+        for batch in batches:
+            doc, names = batch.column(batch.schema.get_field_index("doc")), batch.schema.names[1:]
+            columns = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
+            rows = [dict(zip(names, values)) for values in zip(*columns)]
+            for row in rows:
+                if not row["open"]:
+                    continue
+                text = (row["clean"] or "").encode()
+                words = words_of(text)
+                hit, found = automaton.match(words)
+                for s in row["spans"]:
+                    hit |= _inside(text, s["start"], s["end"])
+                spans = spans_of(text, hit) if hit.any() else []
+                row["spans"] = _structs(spans)
+                if first:
+                    found.discard(None)
+                    row |= {"n_words": len(words), "n_hit": int(hit.sum()), "hits": row["spans"], "items": sorted(found | set(row["items"]))}
+                if last:
+                    if spans:
+                        row["clean"] = cut(text, spans).decode("utf-8", "replace")
+                    row |= {"open": bool(spans), "spans": []}
+            yield pa.RecordBatch.from_arrays(
+                [doc, *(pa.array([row[n] for row in rows], batch.schema.field(n).type) for n in names)], batch.schema.names)
+
+    return df.mapInArrow(run, _schema(df, T.StructField("open", T.BooleanType()), T.StructField("spans", SPANS)))
 
 
 def _inside(text: bytes, start: int, end: int) -> np.ndarray:

@@ -76,3 +76,18 @@ def test_empty_tables(spark, none):
     docs, items = docs_of(spark, awkward()), item_table(spark, cases()[1])
     got = dc.op2(docs.limit(0) if none == "docs" else docs, items.limit(0) if none == "items" else items).collect()
     assert len(got) == (0 if none == "docs" else len(awkward())) and not any(r["contaminated"] for r in got)
+
+
+def test_blocks_of_items_clean_as_one(spark):
+    """Items that overlap in a document, and windows that form at a cut, with
+    items of other blocks or the same."""
+    rng = random.Random(11)
+    w = [f"p{k}" for k in range(60)]
+    items = [(1, " ".join(w[:15])), (2, " ".join(w[9:22])), (3, " ".join(w[30:42])), (4, " ".join(w[44:56])), *[(10 + k, words(rng, 20)) for k in range(8)]]
+    docs = [(1, " ".join(["before", *w[:22], "after"])),
+            (2, " ".join(["before", *w[30:36], *w[44:56], *w[36:42], "after"])), (3, " ".join(["before", *w[44:50], *w[30:42], *w[50:56], "after"])),
+            (4, "clean text"), (5, None)]
+    frame, table = docs_of(spark, docs), item_table(spark, items)
+    one, many = (sorted(map(str, dc.decontaminate(frame, table, block_bytes=b).collect())) for b in (16 << 20, 100))
+    assert len(dc.item_blocks(table, 100)) > 5
+    assert one == many
