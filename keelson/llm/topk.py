@@ -15,7 +15,9 @@ Cases: vectors null, empty or holding null or non-finite components take no
 part, as query or candidate; vectors whose length differs from the query's are
 no candidates for it; fewer than k candidates are all returned; ties go to the
 smaller id; a candidate row with the query's own id is the query's own; rows
-with a null id take no part; repeated query rows are searched once. Scores must fit 64 bits.
+with a null id take no part; repeated query rows are searched once; unlike
+vectors of one query id are all searched and their results ranked together.
+Scores must fit 64 bits.
 """
 
 from __future__ import annotations
@@ -153,7 +155,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024
           shard_rows: int = 20_000) -> DataFrame:
     """query_id, rank, vec_id, score for every query row (a subset of the
     vectors' rows, with the same columns)."""
-    asked = saved(whole_numbers(queries, scale).dropDuplicates(["vec_id"]))
+    asked = saved(whole_numbers(queries, scale).dropDuplicates(["vec_id", "x"]))
     n = asked.count()
     candidates = whole_numbers(vectors, scale)
     blocks = max(1, -(-n // block_queries))

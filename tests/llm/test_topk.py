@@ -26,3 +26,13 @@ def test_against_brute_force(spark):
     assert topk.op8(frame.limit(0)).count() == 0
     twice = topk.op8(frame.filter("vec_id in (100, 101, 102)").union(frame.filter("vec_id = 100")))
     assert twice.count() == 2
+
+
+def test_every_vector_of_a_query_id_is_searched(spark):
+    rng = random.Random(8)
+    rows = [(i, [float(rng.randint(-9, 9)) for _ in range(3)]) for i in range(1, 90)]
+    rows += [(100, [1.0, 0.0, 0.0]), (100, [-1.0, 2.0, 0.0]), (100, [0.0, 0.0, 3.0]), (100, [0.0, 0.0, 3.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    scored = sorted((-sum(1024 * 1024 * int(a * b) for a, b in zip(x, y)), i) for _, x in rows[-4:-1] for i, y in rows[:-4])
+    want = [(100, r, i, -s) for r, (s, i) in enumerate(scored[:10], 1)]
+    assert sorted(map(tuple, topk.op8(frame).collect())) == want
