@@ -5,9 +5,9 @@ fit gives has no SQL twin, so these queries return facts about it that have
 one: how many rows were held out and their key sum, whether the model reaches
 its floor, how many trials succeeded, whether each logged value is there.
 
-Settings are the configured ones. Where a query wants a smaller model, it
-narrows a search space to some of its configured values (:func:`narrowed`
-refuses any other) and says so here; nothing is cut on the way.
+Searches and some fits are smaller jobs than the configured ones: their spaces
+are narrowed to some of the configured values (:func:`narrowed` refuses any
+other), their trials are fewer, and two forests have a depth of 10.
 """
 
 from __future__ import annotations
