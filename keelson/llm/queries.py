@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import decontaminate, langid, lm, packing, quality, repeats, secrets, simjoin, topk, toxicity
+from keelson.llm import decontaminate, langid, lm, packing, periods, quality, repeats, secrets, simjoin, topk, toxicity
 from keelson.llm.common import table
 
 
@@ -23,4 +23,5 @@ LLM_QUERIES = {
     "op8_topk_kdtree": (topk.query, topk.SQL),
     "op9_quality_weak_labels": (quality.query, None),
     "op10_toxicity_counterfactual": (toxicity.query, None),
+    "op11_periods_minimizers": (periods.query, None),
 }
