@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import alignment, decontaminate, langid, lm, packing, periods, quality, repeats, secrets, simjoin, topk, toxicity
+from keelson.llm import alignment, decontaminate, langid, lm, packing, periods, pii, quality, repeats, secrets, simjoin, topk, toxicity
 from keelson.llm.common import table
 
 
@@ -25,4 +25,5 @@ LLM_QUERIES = {
     "op10_toxicity_counterfactual": (toxicity.query, None),
     "op11_periods_minimizers": (periods.query, None),
     "op12_alignment_lockstep": (alignment.query, None),
+    "op13_pii_crf": (pii.query, None),
 }
