@@ -194,8 +194,6 @@ class RunConfig:
     parallelism: int = MODEL_CONFIG["PARALELISM"]
     model_name: str = MODEL_CONFIG["REGISTER_MODEL_NAME"]
     seed: int = 42
-    # partitions a fit works on: part of the model, like the seed
-    fit_partitions: int = 8
 
 
 def _vtype(v) -> str:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from keelson import session as S
 from keelson.functions.exprs import MAPE_EPS
 from keelson.operators import grow as G
-from keelson.operators.forests import NODES, ForestModel, Frame, Plan, grown_apart, node_batch
+from keelson.operators.forests import PIECES, ForestModel, Frame, Plan, grown_apart, piece_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -221,7 +221,9 @@ def one_round(b: Boost, st: State, rows: Rows) -> G.Tree:
     st.done += 1
     if len(test["y"]):
         now = loss(test["y"], st.told, b.watch)
-        if now < st.best:
+        if b.sampling == "dart":  # later rounds change earlier trees: all are kept
+            st.best, st.best_round = now, st.done
+        elif now < st.best:
             st.best, st.best_round, st.best_told = now, st.done, st.told
         st.finished = bool(b.patience) and st.done - st.best_round >= b.patience
     else:
@@ -262,22 +264,22 @@ def boosters(frame: Frame, plans: dict[int, Boost], states: DataFrame | None = N
                         break
                     at, tree = st.done, one_round(b, st, rows)
                     if nodes and b.sampling != "dart":
-                        yield padded(node_batch({"copies": 1, "tree": at}, tree), trial)
+                        yield padded(piece_of(tree, trial, 1, at))
                 if nodes and b.sampling == "dart" and st.finished:  # weights are final only now
                     for at, (tree, weight, _, _) in enumerate(st.trees):
-                        yield padded(node_batch({"copies": 1, "tree": at}, G.Tree(tree.feature, tree.cut, tree.left, weight * tree.value, tree.rows, tree.hash)), trial)
+                        yield padded(piece_of(G.Tree(tree.feature, tree.cut, tree.left, weight * tree.value, tree.rows, tree.hash), trial, 1, at))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([v], t) for v, t in ((trial, pa.int64()), (st.done, pa.int64()), (st.best, pa.float64()), (st.best_round, pa.int64()),
                                                    (st.finished, pa.bool_()), (st.base, pa.float64()), (cloudpickle.dumps(st), pa.binary()))]
-                    + [pa.nulls(1, f.type) for f in EMPTY.schema], [*STATE_NAMES, *EMPTY.schema.names])
+                    + [pa.nulls(1, f.type) for f in list(EMPTY.schema)[1:]], [*STATE_NAMES, *EMPTY.schema.names[1:]])
 
     while not live.isEmpty():
         out = f"{folder}/{segment}"
         n = max(1, live.count())
-        live.repartition(n, "trial").mapInArrow(run, f"{STATE}, copies long, {NODES}").write.parquet(out)
+        live.repartition(n, "trial").mapInArrow(run, f"{STATE}, {PIECES}").write.parquet(out)
         found = spark.read.parquet(out)
         if nodes:
-            found.filter("node is not null").select("trial", "copies", "tree", "node", "feature", "cut", "left", "right", "value", "rows", "hash").write.parquet(f"{nodes}/segment={segment}")
+            found.filter("tree is not null").drop(*STATE_NAMES[1:]).write.parquet(f"{nodes}/segment={segment}")
         now = found.filter("state is not null").select(*STATE_NAMES)
         ended = now.filter("finished") if ended is None else ended.unionAll(now.filter("finished"))
         live = now.filter("not finished").select("trial", "state")
@@ -286,17 +288,16 @@ def boosters(frame: Frame, plans: dict[int, Boost], states: DataFrame | None = N
 
 
 STATE_NAMES = ["trial", "done", "best", "best_round", "finished", "base", "state"]
-EMPTY = node_batch({"copies": 1, "tree": 0}, G.Tree(*(np.zeros(1, t) for t in (np.int16, float, np.int32, float, np.int64, np.int64)))).slice(0, 0)
+EMPTY = piece_of(G.Tree(*(np.zeros(1, t) for t in (np.int16, float, np.int32, float, np.int64, np.int64))), 0, 1, 0)
 
 
-def padded(batch: pa.RecordBatch, trial: int) -> pa.RecordBatch:
-    """A tree's nodes among the rows of states."""
-    n = batch.num_rows
+def padded(piece: pa.RecordBatch) -> pa.RecordBatch:
+    """A tree among the rows of states."""
     types = (pa.int64(), pa.float64(), pa.int64(), pa.bool_(), pa.float64(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(np.full(n, trial, np.int64)), *(pa.nulls(n, t) for t in types), *batch.columns], [*STATE_NAMES, *batch.schema.names])
+    return pa.RecordBatch.from_arrays([piece.column(0), *(pa.nulls(1, t) for t in types), *piece.columns[1:]], [*STATE_NAMES, *piece.schema.names[1:]])
 
 
-def booster_predictions(frame: Frame, plans: dict[int, Boost]) -> DataFrame:
+def boosters_of(frame: Frame, plans: dict[int, Boost]) -> DataFrame:
     """What every booster's best rounds say of every test row: trial, id, y, prediction."""
     labels = frame.rows.filter("part = 1").select("id", "y")
     if not frame.fits:
@@ -327,9 +328,10 @@ def fit_boosted(frame: Frame, b: Boost) -> ForestModel:
         return boost_apart(frame, b)
     spark = frame.rows.sparkSession
     path = S.work_dir(spark, "boosted")
-    end = boosters(frame, {0: b}, nodes=path).select("done", "best_round", "base").first()
-    nodes = spark.read.parquet(path).filter(F.col("tree") < end["best_round"]).drop("segment", "trial")
-    return ForestModel(nodes, frame.features, "sum", end["base"], info={"rounds_fitted": end["done"], "rounds_kept": end["best_round"]})
+    end = boosters(frame, {0: b}, nodes=f"{path}/rounds").select("done", "best_round", "base").first()
+    kept = spark.read.parquet(f"{path}/rounds").filter(F.col("tree") < end["best_round"]).drop("segment", "trial")
+    kept.write.parquet(f"{path}/trees")
+    return ForestModel.written(spark, path, frame.features, "sum", end["base"], {"rounds_fitted": end["done"], "rounds_kept": end["best_round"]})
 
 
 def boost_apart(frame: Frame, b: Boost, every: int = 1) -> ForestModel:
@@ -355,8 +357,9 @@ def boost_apart(frame: Frame, b: Boost, every: int = 1) -> ForestModel:
         own = Frame(fit.drop("said"), [frame.features[c] for c in cols], frame.n_fit, frame.n_test, frame.handoff)
         path = f"{folder}/nodes/round={done}"
         plan = {0: Plan(b.settings, 1, b.seed)}
-        grown_apart(own, plan, [(0, done, 1)]).drop("trial").withColumn("value", F.col("value") * b.rate).write.parquet(path)
-        tree = ForestModel(spark.read.schema(f"copies long, {NODES}").parquet(path), own.features, "sum")
+        scaled = F.zip_with("feature", "number", lambda f, v: F.when(f < 0, v * b.rate).otherwise(v))
+        grown_apart(own, plan, [(0, done, 1)]).drop("trial").withColumn("number", scaled).write.parquet(path)
+        tree = ForestModel(spark.read.schema(PIECES).parquet(path), own.features, "sum")
         wide = rows.select("*", *[F.col("x")[int(c)].alias(frame.features[c]) for c in cols])
         moved = tree.transform(wide).withColumn("said", F.col("said") + F.col("prediction")).select(*frame.rows.columns, "said")
         moved.write.parquet(f"{folder}/rows/{done}")
@@ -371,10 +374,12 @@ def boost_apart(frame: Frame, b: Boost, every: int = 1) -> ForestModel:
         if b.patience and done - best_round >= b.patience:
             break
     # features of a round are numbered among its own columns
-    nodes = None
+    kept = None
     for r in range(best_round):
         cols = tree_columns(G.tree_hash(b.seed, r), len(frame.features), b.columns)
         of = F.array(*[F.lit(int(c)) for c in cols])
-        part = spark.read.schema(f"copies long, {NODES}").parquet(f"{folder}/nodes/round={r}").withColumn("feature", F.when(F.col("feature") >= 0, F.element_at(of, F.col("feature") + 1)).otherwise(-1))
-        nodes = part if nodes is None else nodes.unionAll(part)
-    return ForestModel(nodes, frame.features, "sum", float(base), info={"rounds_fitted": done, "rounds_kept": best_round})
+        renamed = F.transform("feature", lambda f: F.when(f >= 0, F.element_at(of, f + 1)).otherwise(-1)).cast("array<smallint>")
+        part = spark.read.schema(PIECES).parquet(f"{folder}/nodes/round={r}").withColumn("feature", renamed)
+        kept = part if kept is None else kept.unionAll(part)
+    kept.write.parquet(f"{folder}/trees")
+    return ForestModel.written(spark, folder, frame.features, "sum", float(base), {"rounds_fitted": done, "rounds_kept": best_round})

@@ -65,12 +65,16 @@ def latest_metrics(metrics: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
     return latest_by(metrics, ["run_id", "key"], ["ts", *ties], ["value"])
 
 
+def param_order(params: DataFrame) -> list[str]:
+    """What decides which of several values of a parameter is the last."""
+    return [c for c in ("ts", "tie1", "tie2") if c in params.columns]
+
+
 def dedup_params(params: DataFrame) -> DataFrame:
     """H2: a key logged twice with the same value is one parameter; a key
     logged with different values is flagged (the last value is kept). One
     aggregate: one scan, one shuffle."""
-    order = [F.col(c) for c in ("ts", "tie1", "tie2") if c in params.columns]
-    last = F.max(F.struct(*order, F.col("value").alias("value")))
+    last = F.max(F.struct(*[F.col(c) for c in param_order(params)], F.col("value").alias("value")))
     return (params.groupBy("run_id", "key")
             .agg(last.alias("__s"), F.count(F.lit(1)).alias("n_logged"), F.min("value").alias("__lo"), F.max("value").alias("__hi"))
             .select("run_id", "key", F.col("__s.value").alias("value"), "n_logged",
@@ -102,7 +106,7 @@ def runs_wide(runs: DataFrame, metrics: DataFrame, metric_keys: Sequence[str] =
             .select("run_id", *[F.col(f"__m{i}.value").alias(f"metric_{k}") for i, k in enumerate(metric_keys)]))
     out = runs.join(wide, "run_id", "left")
     if params is not None and param_keys:
-        lp = latest_by(params.filter(F.col("key").isin(list(param_keys))), ["run_id", "key"], ["ts"], ["value"])
+        lp = latest_by(params.filter(F.col("key").isin(list(param_keys))), ["run_id", "key"], param_order(params), ["value"])
         pw = lp.groupBy("run_id").pivot("key", list(param_keys)).agg(F.max("value"))
         out = out.join(pw.select("run_id", *[F.col(k).alias(f"param_{k}") for k in param_keys]), "run_id", "left")
     return out
@@ -324,9 +328,10 @@ class Run:
         return f"{self.store.root}/artifacts/{self.run_id}/{name}"
 
     def log_model(self, model, name: str) -> str:
-        """A5: save a PipelineModel under the run and record its location."""
-        uri = self.artifact_dir(name)  # unique per run: safe to write concurrently
-        model.write().overwrite().save(uri)
+        """A5: save a model under the run and record its location."""
+        from keelson.operators import models as M
+
+        uri = M.save(model, self.artifact_dir(name))  # unique per run: safe to write concurrently
         self.log_artifact(name, uri)
         return uri
 

@@ -1,13 +1,11 @@
 """Queries that fit, tune, track, register and score models.
 
-They read the regression table built from lineitem at full size. What a tree
-fit gives has no SQL twin, so these queries return facts about it that have
-one: how many rows were held out and their key sum, whether the model reaches
-its floor, how many trials succeeded, whether each logged value is there.
-
-Searches and some fits are smaller jobs than the configured ones: their spaces
-are narrowed to some of the configured values (:func:`narrowed` refuses any
-other), their trials are fewer, and two forests have a depth of 10.
+They read the regression table built from lineitem at full size, and run the
+configured searches: every family's whole space, ten trials, refits without
+limits of their own. Where SQL can grow a tree the twin does (first levels,
+first split, predictions of the hand-set tree); otherwise a query returns facts
+that have a twin: how many rows were held out and their key sum, whether the
+model reaches its floor, how many trials succeeded.
 """
 
 from __future__ import annotations
@@ -18,6 +16,7 @@ from pyspark.sql import functions as F
 from keelson import session as S
 from keelson.config import MODEL_CONFIG, RANDOM_FOREST_HAND_SET, RUN_NAMES, SPACES, RunConfig, family_defaults
 from keelson.operators import evaluate as EV
+from keelson.operators import grow as G
 from keelson.operators import models as M
 from keelson.operators import search as SR
 from keelson.operators.registry import ModelRegistry
@@ -25,58 +24,35 @@ from keelson.operators.tracking import TrackingStore
 from keelson.plans import score as SC
 from keelson.plans import select as SE
 from keelson.plans import train as TN
-from keelson.plans.queries import PRED_SQL, REG_SQL, sql_bucket
+from keelson.plans.queries import PRED_SQL, REG_SQL, sql_bucket, sql_hash32
+from keelson.plans.tree_sql import first_levels_sql, predictions_sql, stump_sql
 from keelson.sources import files as FL
 from keelson.sources import tables as TB
 
 CFG = RunConfig(keys=TB.LINEITEM_KEY)
+TOGETHER = 5  # trials drawn and fitted side by side
 
 
-def narrowed(family: str, **values) -> dict:
-    """The configured space of ``family`` with some parameters narrowed to
-    values that are in their configured lists."""
-    space = dict(SPACES[family])
-    for p, some in values.items():
-        unknown = [v for v in some if v not in space[p][1]]
-        if unknown:
-            raise ValueError(f"{family}.{p}: {unknown} not configured")
-        space[p] = ("choice", list(some))
-    return space
-
-
-# the smallest configured models of each family
-SMALL_SPACES = {
-    "random_forest": narrowed("random_forest", n_estimators=[200], max_depth=[10]),
-    "extra_trees": narrowed("extra_trees", n_estimators=[80], max_depth=[10]),
-    "xgboost": narrowed("xgboost", n_estimators=[40], max_depth=[4]),
-    "lightgbm": narrowed("lightgbm", n_estimators=[280], num_leaves=[20]),
-}
-
-
-def _splits(spark, sf, persist=True) -> TN.Splits:
+def _splits(spark, sf) -> TN.Splits:
     S.prepare(spark)
-    return TN.make_splits(TB.reg(spark, sf), CFG, persist=persist)
+    return TN.make_splits(TB.reg(spark, sf), CFG)
 
 
 def _fit_metrics(spark, sf, family: str, params: dict):
     """One fit on the training part: (metrics of the held-out rows, their key
     sum, the model, its spec)."""
     s = _splits(spark, sf)
-    try:
-        spec = M.build(family, params, CFG.features, CFG.target, seed=CFG.seed, refit=True)
-        model = M.fit(spec, s.train, CFG.features, validation=s.test, seed=CFG.seed)
-        m = EV.regression_metrics(model.transform(s.test), CFG.target, "prediction", len(CFG.features)).first()
-        keys = s.test.agg(F.sum("l_orderkey")).first()[0]
-    finally:
-        TN.release(s)
+    spec = M.build(family, params, CFG.features, CFG.target, seed=CFG.seed, refit=True)
+    model = M.fit(spec, s.frame)
+    m = EV.regression_metrics(model.transform(s.test), CFG.target, "prediction", len(CFG.features)).first()
+    keys = s.test.agg(F.sum("l_orderkey")).first()[0]
     return m, keys, model, spec
 
 
 def _fit_facts(spark, sf, family: str, params: dict, floor: float) -> DataFrame:
     m, keys, model, spec = _fit_metrics(spark, sf, family, params)
-    kept = M.n_trees(model)
-    asked = spec.rounds or spec.spark_params["numTrees"]
-    row = [(family, int(m["n"]), int(keys), int(m["n_incomplete"]), m["r2"] >= floor, 0 < kept <= asked if spec.rounds else kept == asked,
+    kept = model.n_trees
+    row = [(family, int(m["n"]), int(keys), int(m["n_incomplete"]), m["r2"] >= floor, 0 < kept <= spec.trees if spec.boosted else kept == spec.trees,
             ",".join(f"{k}={v}" for k, v in sorted(spec.flags.items())))]
     return spark.createDataFrame(row, "family string, n_test long, test_key_sum long, n_incomplete long, reaches_floor boolean, "
                                       "trees_as_asked boolean, flags string")
@@ -95,25 +71,24 @@ def _fit_sql(family: str, flags: str) -> str:
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """A2 → C1/C2 → E2 (as configured) → E8 → F1–F5: one row of metrics."""
     m, _, model, spec = _fit_metrics(spark, sf, "random_forest", dict(RANDOM_FOREST_HAND_SET))
-    row = [("random_forest", int(m["n"]), m["mse"], m["rmse"], m["r2"], m["r2_adj"], m["mape"], M.n_trees(model))]
+    row = [("random_forest", int(m["n"]), m["mse"], m["rmse"], m["r2"], m["r2_adj"], m["mape"], model.n_trees)]
     return spark.createDataFrame(row, "family string, n_test long, mse double, rmse double, r2 double, r2_adj double, "
                                       "mape double, n_trees int")
 
 
 def q_fit_rf_default(spark, sf):
-    """The original library's default forest (100 trees, every feature),
-    to depth 10: without a limit each of its trees grows a leaf for every row."""
-    return _fit_facts(spark, sf, "random_forest", {"max_depth": 10}, 0.99)
+    """The original library's default forest (100 trees of any depth, every feature)."""
+    return _fit_facts(spark, sf, "random_forest", {}, 0.99)
 
 
 def q_fit_rf_fixed(spark, sf):
     """Depth 5, leaf 3, split 3, 200 trees, seed 42."""
-    return _fit_facts(spark, sf, "random_forest", dict(RANDOM_FOREST_HAND_SET), 0.98)
+    return _fit_facts(spark, sf, "random_forest", dict(RANDOM_FOREST_HAND_SET), 0.97)
 
 
 def q_fit_extra_trees(spark, sf):
-    """80 trees of depth 10, the other settings as configured."""
-    return _fit_facts(spark, sf, "extra_trees", family_defaults("extra_trees") | {"n_estimators": 80, "max_depth": 10}, 0.97)
+    """The configured 400 trees of depth 60."""
+    return _fit_facts(spark, sf, "extra_trees", family_defaults("extra_trees"), 0.99)
 
 
 def q_fit_gbt(spark, sf):
@@ -123,39 +98,86 @@ def q_fit_gbt(spark, sf):
 
 
 def q_fit_gbt_leafwise(spark, sf):
-    """20 leaves, the other settings as configured (200 rounds)."""
-    return _fit_facts(spark, sf, "lightgbm", family_defaults("lightgbm") | {"num_leaves": 20}, 0.97)
+    """250 leaves, one-sided sampling by gradient, 200 rounds, as configured."""
+    return _fit_facts(spark, sf, "lightgbm", family_defaults("lightgbm"), 0.97)
+
+
+FIRST_TREES, FIRST_LEVELS = 3, 2
+
+
+def q_forest_first_levels(spark, sf):
+    """Forests of the configured settings; the splits of the first
+    levels of their first trees, with bootstrap weights, best cuts and random
+    cuts of each node."""
+    s = _splits(spark, sf)
+    out = None
+    for family, params in FIRST_LEVEL_FORESTS.items():
+        spec = M.build(family, params | {"n_estimators": FIRST_TREES}, CFG.features, CFG.target, seed=CFG.seed)
+        nodes = M.fit(spec, s.frame).nodes.filter(F.col("feature").isNotNull()).select("tree", "node", "feature", "cut", "left", "rows").filter(F.col("node") < 3)
+        # a tree's nodes are numbered level by level; the root's children are 1 and 2
+        names = F.array(*[F.lit(c) for c in CFG.features])
+        part = nodes.select(F.lit(family).alias("family"), "tree", (F.col("node") + 1).alias("node"), names[F.col("feature")].alias("feature"),
+                            F.round("cut", 6).alias("cut"), F.col("rows").alias("n_rows"))
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
+FIRST_LEVEL_FORESTS = {"random_forest": {}, "extra_trees": family_defaults("extra_trees")}
+STUMPS = [(0.0, 0.01), (100.0, 0.01), (1e6, 0.01), (100.0, 1e15)]
+
+
+def q_gbt_first_split(spark, sf):
+    """E5: the first split of the configured booster and its leaf weights, by
+    regularisation and least gain."""
+    s = _splits(spark, sf)
+    rows = []
+    for lam, gamma in STUMPS:
+        params = family_defaults("xgboost") | {"max_depth": 1, "n_estimators": 1, "reg_lambda": lam, "gamma": gamma}
+        n = {r["node"]: r for r in M.fit(M.build("xgboost", params, CFG.features, CFG.target, seed=CFG.seed, refit=True), s.frame).nodes.collect()}
+        split = len(n) == 3
+        rows.append((lam, gamma, split, CFG.features[n[0]["feature"]] if split else None, round(n[0]["cut"], 6) if split else None, n[1]["rows"] if split else 0,
+                     round(n[1]["value"], 6) if split else None, round(n[2]["value"], 6) if split else None))
+    return spark.createDataFrame(rows, "reg_lambda double, gamma double, splits boolean, feature string, cut double, left_rows long, left_weight double, right_weight double")
+
+
+TRAIN_SQL = (f"SELECT {', '.join(f'CAST({c} AS DOUBLE) AS x{i}' for i, c in enumerate(CFG.features))}, CAST({CFG.target} AS DOUBLE) AS y, "
+             f"{sql_hash32(TB.LINEITEM_KEY, 'bag')} % {G.P} AS row_hash FROM ({REG_SQL}) WHERE {sql_bucket(TB.LINEITEM_KEY, 'etl')} >= 200 "
+             f"AND {sql_bucket(TB.LINEITEM_KEY, 'holdout')} >= 200")
+
+
+def _plan(family: str, params: dict):
+    return M.build(family, params, CFG.features, CFG.target, seed=CFG.seed, refit=True).plan
+
+
+SQL_FIRST_LEVELS = " UNION ALL ".join(f"SELECT * FROM ({first_levels_sql(TRAIN_SQL, CFG.features, CFG.seed, FIRST_TREES, FIRST_LEVELS, _plan(f, p).settings, f)})"
+                                      for f, p in FIRST_LEVEL_FORESTS.items())
+_XGB = _plan("xgboost", family_defaults("xgboost"))
+SQL_FIRST_SPLIT = stump_sql(TRAIN_SQL, CFG.features, CFG.seed, STUMPS, _XGB.rate, _XGB.subsample, _XGB.columns, _XGB.ones_weight)
+
+# without a bootstrap its 200 trees are one, which SQL can grow
+HAND_SET_PLAIN = dict(RANDOM_FOREST_HAND_SET) | {"bootstrap": False}
 
 
 def _forest(s: TN.Splits):
     """The hand-set forest on a fitting part."""
-    return M.fit(M.build("random_forest", dict(RANDOM_FOREST_HAND_SET), CFG.features, CFG.target, seed=CFG.seed), s.train, CFG.features)
+    return M.fit(M.build("random_forest", HAND_SET_PLAIN, CFG.features, CFG.target, seed=CFG.seed), s.frame)
 
 
 def q_predict_batch(spark, sf):
-    """Fit on training, predict every validation row: its keys, and
-    whether the prediction is a number in the target's range."""
+    """Fit on training, predict every validation row."""
     s = _splits(spark, sf)
-    try:
-        model = _forest(s)
-        lo, hi = EV.min_max(s.train, [CFG.target])[CFG.target]
-    finally:
-        TN.release(s)
-    return M.predict(model, s.validation, keep=CFG.keys).select(*CFG.keys, F.col("prediction").between(lo, hi).alias("in_range"))
+    return M.predict(_forest(s), s.validation, keep=CFG.keys).select(*CFG.keys, F.round("prediction", 3).alias("prediction"))
 
 
 _KEYS = ", ".join(TB.LINEITEM_KEY)
-SQL_PREDICT_BATCH = f"SELECT {_KEYS}, true AS in_range FROM ({VALIDATION_SQL})"
+_SCORED_SQL = f"SELECT {_KEYS}, {', '.join(f'CAST({c} AS DOUBLE) AS x{i}' for i, c in enumerate(CFG.features))} FROM ({VALIDATION_SQL})"
+SQL_PREDICT_BATCH = predictions_sql(TRAIN_SQL, _SCORED_SQL, CFG.features, TB.LINEITEM_KEY, CFG.seed, _plan("random_forest", HAND_SET_PLAIN).settings)
 
 
 def q_tune_rf(spark, sf):
-    """The configured number of trials, 4 at a time."""
+    """The configured number of trials over the configured space, 5 side by side."""
     s = _splits(spark, sf)
-    try:
-        trials = SR.search(spark, "random_forest", s.train, s.test, CFG.features, CFG.target,
-                           max_evals=MODEL_CONFIG["MAX_EVALS"], parallelism=4, seed=CFG.seed, space=SMALL_SPACES["random_forest"])
-    finally:
-        TN.release(s)
+    trials = SR.search(spark, "random_forest", s.frame, CFG.features, CFG.target, max_evals=MODEL_CONFIG["MAX_EVALS"], parallelism=TOGETHER, seed=CFG.seed)
     return trials.select("family", "trial_id", "status", (F.col("loss") > 0).alias("has_loss"), F.size("params").alias("n_params"))
 
 
@@ -168,15 +190,12 @@ def q_tune_refit(spark, sf):
     from keelson.config import encode_value, search_space_rows
 
     s = _splits(spark, sf)
-    space = SMALL_SPACES["xgboost"]
-    try:
-        trials = SR.search(spark, "xgboost", s.train, s.test, CFG.features, CFG.target, max_evals=4,
-                           parallelism=4, seed=CFG.seed, space=space, algo="random")
-        params = SR.best_params(trials, "xgboost", search_space_rows("xgboost", space))
-        _, spec, scored = SR.refit_and_score("xgboost", params, s.train, s.test, CFG.features, CFG.target, seed=CFG.seed)
-        m = EV.regression_metrics(scored, CFG.target, "prediction", len(CFG.features)).first()
-    finally:
-        TN.release(s)
+    space = SPACES["xgboost"]
+    trials = SR.search(spark, "xgboost", s.frame, CFG.features, CFG.target, max_evals=MODEL_CONFIG["MAX_EVALS"], parallelism=MODEL_CONFIG["MAX_EVALS"],
+                       seed=CFG.seed, algo="random")
+    params = SR.best_params(trials, "xgboost", search_space_rows("xgboost", space))
+    _, spec, scored = SR.refit_and_score("xgboost", params, s.frame, s.test, CFG.features, CFG.target, seed=CFG.seed)
+    m = EV.regression_metrics(scored, CFG.target, "prediction", len(CFG.features)).first()
     inside = {p: any(encode_value(v) == encode_value(params[p]) for v in c[1]) if c[0] == "choice" else c[1] <= params[p] <= c[2]
               for p, c in space.items()}
     rows = [("xgboost", p, inside[p], int(m["n"]), m["mape"] is not None) for p in sorted(params)]
@@ -194,16 +213,13 @@ def _store_and_registry(spark):
 
 
 def q_score_staged(spark, sf):
-    """Track a run of two families (a search
-    of 2 trials each and its refit), register the best, promote, load the
-    staged model and score every validation row."""
+    """Track a run of two families (the
+    configured search of each and its refit), register the best, promote, load
+    the staged model and score every validation row."""
     store, registry, root = _store_and_registry(spark)
     s = _splits(spark, sf)
-    try:
-        for fam in ("random_forest", "extra_trees"):
-            TN.train_family(spark, fam, s, CFG, store, "train", max_evals=2, parallelism=2, space=SMALL_SPACES[fam])
-    finally:
-        TN.release(s)
+    for fam in ("extra_trees", "lightgbm"):
+        TN.train_family(spark, fam, s, CFG, store, "train", max_evals=MODEL_CONFIG["MAX_EVALS"], parallelism=TOGETHER)
     SE.select_and_promote(spark, store, registry, "train", CFG.model_name, CFG.comparison_metric)
     scored = SC.score(s.validation, registry, CFG.model_name, CFG.keys)
     out = root + "/scored"
@@ -218,20 +234,15 @@ SQL_SCORE_STAGED = (f"SELECT {_KEYS}, '{CFG.model_name}' AS model_name, CAST(1 A
 def q_roundtrip_model(spark, sf):
     """A5 + A6: log a model under a run, load it back by run, and compare
     predictions of the two objects on every test row."""
-    from pyspark.ml import PipelineModel
-
     store, _, _ = _store_and_registry(spark)
     s = _splits(spark, sf)
-    try:
-        model = _forest(s)
-        with store.start_run("roundtrip", "RandomForest") as r:
-            r.log_model(model, "RandomForest")
-            run_id = r.run_id
-        loaded = PipelineModel.load(store.artifact_uri(run_id, "RandomForest"))
-        both = loaded.transform(model.transform(s.test).select(*CFG.features, F.col("prediction").alias("p1")))
-        m = both.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p1") - F.col("prediction"))).alias("d")).first()
-    finally:
-        TN.release(s)
+    model = _forest(s)
+    with store.start_run("roundtrip", "RandomForest") as r:
+        r.log_model(model, "RandomForest")
+        run_id = r.run_id
+    loaded = M.load(spark, store.artifact_uri(run_id, "RandomForest"))
+    both = loaded.transform(model.transform(s.test).select(*CFG.features, F.col("prediction").alias("p1")))
+    m = both.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p1") - F.col("prediction"))).alias("d")).first()
     return spark.createDataFrame([(m["n"], m["d"])], "n long, max_abs_diff double")
 
 
@@ -286,10 +297,10 @@ SQL_ETL_TABLES = (f"WITH r AS (SELECT l_orderkey, {sql_bucket(TB.LINEITEM_KEY, '
 
 
 def q_train_all(spark, sf):
-    """All four families, tracked and ranked; 2 trials each."""
+    """All four families with their configured searches, tracked and ranked."""
     store, _, _ = _store_and_registry(spark)
     S.prepare(spark)
-    res, _ = TN.train_all(spark, TB.reg(spark, sf), CFG, store, "train", max_evals=2, parallelism=2, spaces=SMALL_SPACES)
+    res, _ = TN.train_all(spark, TB.reg(spark, sf), CFG, store, "train", parallelism=TOGETHER)
     board = TN.leaderboard(res.drop("seconds", "phases"))
     logged = store.table("runs").filter("status = 'FINISHED'").groupBy("run_name").agg(F.count(F.lit(1)).alias("n_runs"))
     names = F.create_map(*[F.lit(x) for kv in RUN_NAMES.items() for x in kv])
@@ -300,19 +311,18 @@ def q_train_all(spark, sf):
 
 
 SQL_TRAIN_ALL = (f"WITH t AS (SELECT count(*) AS n FROM ({TEST_SQL})) "
-                 + " UNION ALL ".join(f"SELECT '{f}' AS family, '{r}' AS run_name, n AS n_test, CAST(2 AS BIGINT) AS n_trials, "
+                 + " UNION ALL ".join(f"SELECT '{f}' AS family, '{r}' AS run_name, n AS n_test, CAST({MODEL_CONFIG['MAX_EVALS']} AS BIGINT) AS n_trials, "
                                       "CAST(2 AS BIGINT) AS n_runs, true AS reaches_floor, CAST(10 AS BIGINT) AS rank_sum FROM t"
                                       for f, r in RUN_NAMES.items()))
 
-_BOOSTED_FLAGS = "colsample_bytree=approximated,early_stopping_metric=approximated"
-
 ML_QUERIES = {
     "fit_rf_default": (q_fit_rf_default, _fit_sql("random_forest", "")),
-    "fit_rf_fixed": (q_fit_rf_fixed, _fit_sql("random_forest", "min_samples_split=approximated")),
-    "fit_extra_trees": (q_fit_extra_trees, _fit_sql("extra_trees", "min_samples_split=approximated")),
-    "fit_gbt": (q_fit_gbt, _fit_sql("xgboost", _BOOSTED_FLAGS + ",gamma=approximated,reg_lambda=ignored,scale_pos_weight=ignored")),
-    "fit_gbt_leafwise": (q_fit_gbt_leafwise, _fit_sql("lightgbm", "boosting_type=ignored," + _BOOSTED_FLAGS
-                                                      + ",max_depth=clamped,num_leaves=approximated,reg_lambda=ignored,scale_pos_weight=ignored")),
+    "fit_rf_fixed": (q_fit_rf_fixed, _fit_sql("random_forest", "")),
+    "fit_extra_trees": (q_fit_extra_trees, _fit_sql("extra_trees", "")),
+    "fit_gbt": (q_fit_gbt, _fit_sql("xgboost", "")),
+    "fit_gbt_leafwise": (q_fit_gbt_leafwise, _fit_sql("lightgbm", "scale_pos_weight=no effect")),
+    "forest_first_levels": (q_forest_first_levels, SQL_FIRST_LEVELS),
+    "gbt_first_split": (q_gbt_first_split, SQL_FIRST_SPLIT),
     "predict_batch": (q_predict_batch, SQL_PREDICT_BATCH),
     "tune_rf": (q_tune_rf, SQL_TUNE_RF),
     "tune_refit": (q_tune_refit, SQL_TUNE_REFIT),

@@ -1,5 +1,5 @@
 """Training pipeline (J1–J3): ETL, then per family search → refit →
-evaluate → track, all on one cached split.
+evaluate → track, all on one prepared split.
 
 Only scalars and small trial tables reach the driver; fitting, scoring and
 metric aggregation are Spark jobs; every artifact is written by executors.
@@ -11,12 +11,12 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.config import RUN_NAMES, RunConfig
 from keelson.operators import evaluate as EV
+from keelson.operators import forests as FO
 from keelson.operators import search as SR
 from keelson.operators import split as SP
 from keelson.operators.tracking import TrackingStore
@@ -30,6 +30,7 @@ class Splits:
     validation: DataFrame  # ETL validation table (20 %)
     train: DataFrame       # fitting part of training (64 % overall)
     test: DataFrame        # holdout inside training (16 % overall)
+    frame: FO.Frame        # both, prepared for fits
 
 
 def etl(df: DataFrame, cfg: RunConfig, drop: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -61,30 +62,15 @@ def everything():
     return Window.partitionBy()
 
 
-def make_splits(df: DataFrame, cfg: RunConfig, drop: Sequence[str] = (), persist: bool = True) -> Splits:
-    """C1 + C2 (+C4): the fitting frames are persisted (spilling to disk) for
-    the whole search, and released by :func:`release`.
-
-    A fitted forest depends on how its rows are dealt out (Spark samples per
-    partition), so the fitting frames are always dealt by row key over
-    ``cfg.fit_partitions`` partitions, whatever the files or the cluster look
-    like; the number is logged with each run. The fitting part carries only
-    what a fit reads; the test part keeps its keys."""
+def make_splits(df: DataFrame, cfg: RunConfig, drop: Sequence[str] = ()) -> Splits:
+    """C1 + C2 (+C4). The fitting and test rows are written once for the whole
+    search (``frame``); draws are functions of the row keys, so a fit does not
+    depend on how the rows are laid out."""
     cols = list(dict.fromkeys([*cfg.keys, *cfg.features, cfg.target]))
     _, training, validation = etl(df, cfg, drop)
     training = training.select(*cols)
     train, test = SP.split_pair(training, cfg.keys, cfg.test_size, SP.HOLDOUT_SALT)
-    if persist:
-        train = train.repartition(cfg.fit_partitions, *cfg.keys).sortWithinPartitions(*cfg.keys).select(*cfg.features, cfg.target)
-        test = test.repartition(cfg.fit_partitions, *cfg.keys)
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
-        test = test.persist(StorageLevel.MEMORY_AND_DISK)
-    return Splits(training, validation.select(*cols), train, test)
-
-
-def release(s: Splits) -> None:
-    s.train.unpersist()
-    s.test.unpersist()
+    return Splits(training, validation.select(*cols), train, test, FO.prepare(train, test, cfg.features, cfg.target, cfg.keys))
 
 
 @dataclass
@@ -108,7 +94,7 @@ def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, st
     seed = cfg.seed
 
     def _search():
-        return SR.search(spark, family, s.train, s.test, cfg.features, cfg.target, max_evals,
+        return SR.search(spark, family, s.frame, cfg.features, cfg.target, max_evals,
                          parallelism=parallelism, seed=seed, space=space)
 
     phases = {}
@@ -124,19 +110,16 @@ def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, st
     n_trials = trials.count()
 
     def _refit(run=None):
-        model, spec, scored = SR.refit_and_score(family, params, s.train, s.test, cfg.features, cfg.target,
-                                                 seed=seed)
+        model, spec, scored = SR.refit_and_score(family, params, s.frame, s.test, cfg.features, cfg.target, seed=seed)
         scored = scored.select(*cfg.keys, cfg.target, "prediction").persist()
         m = EV.regression_metrics(scored, cfg.target, "prediction", len(cfg.features)).first().asDict()
-        m["n_train"] = s.train.count()
+        m["n_train"] = s.frame.n_fit
         phases["refit_eval"] = time.monotonic() - t0 - phases["search"]
         if run is not None:
             run.log_params(params)
             for k, v in spec.flags.items():
                 run.log_param(f"flag.{k}", v)
-            run.log_param("fit_partitions", cfg.fit_partitions)
-            if spec.groups:
-                run.log_params({"thresholds": spec.thresholds, "threshold_groups": spec.groups})
+            run.log_params(model.info)
             rep = EV.REPORT_DIGITS
             run.log_metric("MSE", m["mse"])
             for col, key in METRIC_NAMES.items():
@@ -175,14 +158,14 @@ def train_all(spark: SparkSession, df: DataFrame, cfg: RunConfig, store: Trackin
               experiment: str = "train", families: Sequence[str] = ("extra_trees", "xgboost", "random_forest",
                                                                      "lightgbm"),
               max_evals: int | None = None, parallelism: int | None = None, spaces: dict | None = None,
-              drop: Sequence[str] = (), family_parallelism: int = 1) -> tuple[DataFrame, float]:
+              drop: Sequence[str] = (), family_parallelism: int = 4) -> tuple[DataFrame, float]:
     """J1 + J3: every family on one cached split; results as one table
     (``unionByName`` of per-family rows) and the elapsed seconds, which is
     also logged as a metric of a pipeline run.
 
-    ``family_parallelism`` families are searched at once (each with
-    ``parallelism`` concurrent trials). Default 1: at sf0.1 on 8 cores,
-    2 families × 2 trials took 455 s against 415 s for 1 × 4 (40 trials)."""
+    ``parallelism`` trials are drawn and fitted together; ``family_parallelism``
+    families are searched at once, which fills the cores that the rounds of a
+    few boosters leave idle."""
     from concurrent.futures import ThreadPoolExecutor
 
     t0 = time.monotonic()
@@ -192,11 +175,8 @@ def train_all(spark: SparkSession, df: DataFrame, cfg: RunConfig, store: Trackin
         return train_family(spark, fam, s, cfg, store, experiment, max_evals or cfg.max_evals,
                             parallelism or cfg.parallelism, (spaces or {}).get(fam))
 
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, family_parallelism)) as pool:
-            results = list(pool.map(one, families))
-    finally:
-        release(s)
+    with ThreadPoolExecutor(max_workers=max(1, family_parallelism)) as pool:
+        results = list(pool.map(one, families))
     elapsed = time.monotonic() - t0
     if store is not None:
         with store.start_run(experiment, "Pipeline") as r:

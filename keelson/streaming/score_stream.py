@@ -11,14 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
-def score_stream(spark: SparkSession, source_dir: str, schema: StructType | str, model: PipelineModel,
+def score_stream(spark: SparkSession, source_dir: str, schema: StructType | str, model,
                  keys: Sequence[str], sink_dir: str, checkpoint_dir: str, model_name: str = "",
                  model_version: int = 0, available_now: bool = True,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:

@@ -21,11 +21,7 @@ def test_train_select_promote_score(spark, tmp_path):
     store = TrackingStore(spark, str(tmp_path / "track"))
     registry = ModelRegistry(spark, str(tmp_path / "reg"))
     s = TN.make_splits(TB.reg(spark, SF_SMALL), CFG)
-    try:
-        res = TN.train_family(spark, "random_forest", s, CFG, store, "train", max_evals=3, parallelism=3,
-                              space=SPACE)
-    finally:
-        TN.release(s)
+    res = TN.train_family(spark, "random_forest", s, CFG, store, "train", max_evals=3, parallelism=3, space=SPACE)
     assert res.trials == 3 and res.metrics["r2"] > 0.9
 
     runs = store.search_runs(experiment_id_for("train"))

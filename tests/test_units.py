@@ -113,17 +113,14 @@ def test_category_eta2(spark):
     assert all(math.isclose(r["eta2"], 1.0) for r in rows)
 
 
-def test_clamped_depth_and_flags():
-    spec = M.random_forest({"max_depth": None, "min_samples_split": 10, "min_samples_leaf": 2,
-                            "max_features": "auto", "n_estimators": 5, "bootstrap": False}, ["a"], "y")
-    assert spec.spark_params["maxDepth"] == 30
-    assert spec.flags["max_depth"] == "clamped"
-    assert spec.spark_params["minInstancesPerNode"] == 5
-    assert spec.spark_params["featureSubsetStrategy"] == "all"
-    spec = M.random_forest({"max_depth": 100}, ["a"], "y")
-    assert spec.spark_params["maxDepth"] == 30
-    g = M.gbt_leafwise({"num_leaves": 250, "max_depth": 40, "n_estimators": 5}, ["a"], "y")
-    assert g.spark_params["maxDepth"] == 8 and g.flags["num_leaves"] == "approximated"
+def test_parameters_keep_their_effect():
+    rf = M.random_forest({"max_depth": None, "min_samples_split": 10, "min_samples_leaf": 2, "max_features": "auto", "n_estimators": 5, "bootstrap": False}, ["a"], "y").plan
+    assert (rf.settings.depth, rf.settings.split, rf.settings.leaf, rf.settings.features, rf.settings.bootstrap, rf.trees) == (None, 10, 2, 0, False, 5)
+    assert M.random_forest({"max_depth": 100, "max_features": "sqrt"}, list("abcd"), "y").plan.settings.features == 2
+    g = M.gbt_leafwise({"num_leaves": 250, "max_depth": 40, "reg_lambda": 3, "boosting_type": "goss"}, ["a"], "y").plan
+    assert (g.settings.leaves, g.settings.depth, g.settings.lam, g.sampling) == (250, 40, 3.0, "goss")
+    x = M.gbt_xgb({"max_depth": 100, "gamma": 0.08, "reg_lambda": 30, "scale_pos_weight": 4}, ["a"], "y").plan
+    assert (x.settings.depth, x.settings.gamma, x.settings.lam, x.ones_weight) == (100, 0.08, 30.0, 4.0)
 
 
 def _ts(m):
@@ -259,41 +256,29 @@ def test_row_numbers_of_a_null_group(spark):
     assert got == sorted(map(str, [(None, 1, 1, 3), (None, 2, 2, 3), (None, 3, 3, 3), ("x", 2, 1, 2), ("x", 5, 2, 2), ("y", 1, 1, 1)]))
 
 
-def test_forest_reads_every_feature_unless_told(spark):
-    est = M.build("random_forest", {"n_estimators": 3}, ["x"], "y").pipeline.getStages()[1]
-    assert est.getFeatureSubsetStrategy() == "all" and est.getNumTrees() == 3 and est.getMaxDepth() == 30
-    assert M.build("random_forest", {}, ["x"], "y").pipeline.getStages()[1].getNumTrees() == 100
-
-
 def test_leafwise_trial_and_refit_settings():
-    trial = M.build("lightgbm", {"n_estimators": 280, "num_leaves": 20}, ["x"], "y")
-    refit = M.build("lightgbm", {"n_estimators": 280, "num_leaves": 20}, ["x"], "y", refit=True)
-    assert (trial.spark_params["maxIter"], trial.spark_params["minInstancesPerNode"], trial.patience) == (200, 100, 200)
-    assert (refit.spark_params["maxIter"], refit.spark_params["minInstancesPerNode"], refit.patience) == (280, 20, 100)
-
-
-def test_stop_round_waits_for_its_patience():
-    assert M.stop_round([5, 4, 3, 2, 1], 2) == 5  # still improving: never cut
-    assert M.stop_round([5, 4, 4, 4, 1], 3) == 5
-    assert M.stop_round([5, 4, 4, 4, 1], 2) == 2
-    assert M.stop_round([5], 1) == 1
+    trial = M.build("lightgbm", {"n_estimators": 280, "num_leaves": 20}, ["x"], "y").plan
+    refit = M.build("lightgbm", {"n_estimators": 280, "num_leaves": 20}, ["x"], "y", refit=True).plan
+    assert (trial.rounds, trial.settings.leaf, trial.patience, trial.watch) == (200, 100, 200, "squared")
+    assert (refit.rounds, refit.settings.leaf, refit.patience, refit.watch) == (280, 20, 100, "percentage")
+    assert M.build("lightgbm", {"boosting_type": "dart"}, ["x"], "y").plan.patience == 0  # dart never stops early
 
 
-def test_narrowed_space_refuses_other_values():
-    from keelson.plans.ml_queries import narrowed
-
-    assert narrowed("xgboost", max_depth=[4])["max_depth"] == ("choice", [4])
-    with pytest.raises(ValueError):
-        narrowed("xgboost", max_depth=[5])
+def test_settings_without_effect_are_one_trial():
+    from keelson.operators.search import fit_key
 
+    a = fit_key("lightgbm", {"num_leaves": 20, "scale_pos_weight": 1, "n_estimators": 280}, ["x"], "y")
+    b = fit_key("lightgbm", {"num_leaves": 20, "scale_pos_weight": 4, "n_estimators": 320}, ["x"], "y")
+    c = fit_key("lightgbm", {"num_leaves": 40, "scale_pos_weight": 1, "n_estimators": 280}, ["x"], "y")
+    assert a == b and a != c
 
-def test_clamped_configs_are_one_trial():
-    from keelson.operators.search import spark_key
 
-    a = spark_key("random_forest", {"max_depth": 40, "n_estimators": 5}, ["x"], "y")
-    b = spark_key("random_forest", {"max_depth": 100, "n_estimators": 5}, ["x"], "y")
-    c = spark_key("random_forest", {"max_depth": 20, "n_estimators": 5}, ["x"], "y")
-    assert a == b and a != c
+def test_equal_times_are_decided_by_the_ties(spark):
+    runs = spark.createDataFrame([(1,)], "run_id long")
+    log = spark.createDataFrame([(1, "p", "F", 5, 2, 1), (1, "p", "O", 5, 1, 9), (1, "p", "A", 4, 9, 9)], "run_id long, key string, value string, ts long, tie1 long, tie2 long")
+    metrics = spark.createDataFrame([], "run_id long, key string, value double, ts long")
+    assert TR.runs_wide(runs, metrics, ["m"], params=log, param_keys=["p"]).first()["param_p"] == "F"
+    assert TR.dedup_params(log).first()["value"] == "F"
 
 
 def test_partition_sizing(spark):
