@@ -35,6 +35,18 @@ def id_and_bytes(docs: DataFrame, *more: Column) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), *more)
 
 
+def beside_text(docs: DataFrame) -> tuple[Column, Column]:
+    """What a task carries along so that :func:`rows_again` can give the rows
+    back: the other columns as one (no name can clash), and whether the text is null."""
+    others = [F.col(c) for c in docs.columns if c != "text"]
+    return F.struct(*others).alias("rest"), F.col("text").isNull().alias("no_text")
+
+
+def rows_again(found: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
+    """The rows of ``docs`` from their carried columns and their (new) text."""
+    return found.select(*[F.when(~F.col("no_text"), text.cast("string")).alias(c) if c == "text" else F.col("rest")[c].alias(c) for c in docs.columns])
+
+
 def schema_with(rows: DataFrame, more: str, skip: tuple[str, ...] = ("text",)) -> T.StructType:
     """The columns of ``rows`` but those of ``skip``, then ``more`` (as DDL)."""
     return T.StructType([f for f in rows.schema.fields if f.name not in skip] + T.StructType.fromDDL(more).fields)
@@ -61,6 +73,27 @@ def fold(doc_id: str, parts: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % parts, F.lit(0)).cast("int")
 
 
+def fresh_worker(owner: str) -> None:
+    """Let go of what another operator's tasks left in this Python worker:
+    workers live from one stage of a pipeline to the next."""
+    if sys.__dict__.get("keelson_owner") == owner:
+        return
+    sys.__dict__["keelson_owner"] = owner
+    if kept := sys.__dict__.get("keelson_kept"):
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        kept.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+
 def once_per_worker(key, make):
     """What a Python worker keeps from one task to the next."""
     kept = sys.__dict__.setdefault("keelson_kept", {})

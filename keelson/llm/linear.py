@@ -32,10 +32,10 @@ class Scorer:
 def telling(rows: list[np.ndarray], y: np.ndarray, always: np.ndarray, least: int = 3, z: float = 3.5) -> np.ndarray:
     """Features whose rate differs between the classes by ``z`` deviations,
     and those of ``always`` that occur."""
-    ids = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    mass = np.repeat(y, [len(r) for r in rows])
-    used, at = np.unique(ids, return_inverse=True)
-    n, n1 = np.bincount(at, minlength=len(used)), np.bincount(at, mass, minlength=len(used))
+    used, n = np.unique(np.concatenate(rows) if rows else np.zeros(0, np.int64), return_counts=True)
+    n1 = np.zeros(len(used))
+    for r, mass in zip(rows, y.tolist()):  # a row's features are distinct
+        n1[np.searchsorted(used, r)] += mass
     rate = y.mean() if len(y) else 0.0
     apart = (n1 - n * rate) / np.sqrt(np.maximum(n * rate * (1 - rate), 1e-9))
     return used[(n >= least) & (np.abs(apart) >= z) | np.isin(used, always)]

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import id_and_bytes, once_per_worker
+from keelson.llm.common import fresh_worker, id_and_bytes, once_per_worker
 
 #: the kind of every byte: letter (and all beyond ASCII), white space, digit, apostrophe, other mark
 KINDS = bytes(97 if chr(c).isalpha() or c > 127 else 32 if chr(c) in " \t\n\r\v\f" else 48 if chr(c).isdigit() else 39 if c == 39 else 33
@@ -159,6 +159,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2,
         raise ValueError("capacity must be a power of two")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker("packing")
         encoder = once_per_worker(("WordEncoder", tokenizer, end_id), lambda: WordEncoder(tokenizer, end_id))
         following = TaskContext.get().partitionId() << 33
         keys: list[int | None] = []

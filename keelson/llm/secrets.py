@@ -9,8 +9,13 @@ how sensitive the name it is assigned to sounds. Three plain patterns
 
 Only texts that hold a sensitive stem are lexed: without one no name can score.
 
+A literal is carried as its length, its characters' counts, its ends and its
+places, so a constant that is added to itself over and over costs no more than
+its lines.
+
 Cases: null text is empty and gives no spans; rows stay one for one, repeated
-and null ids included; whole texts are scanned, whatever their length.
+and null ids included; an empty table gives an empty result; whole texts are
+scanned, whatever their length.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm.common import id_and_bytes, schema_with, table
+from keelson.llm.common import fresh_worker, id_and_bytes, schema_with, table
 
 KINDS = ("assign", "access", "hex", "literal")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -48,6 +53,7 @@ LEX = re.compile(r"""
   | (?P<op>:=|=>|==|!=|<=|>=|=|:|\+)
   | (?P<line>\n)
   | (?P<mark>[^\s\w])""", re.X | re.S)
+HEAD = 64
 IDENT = re.compile(r"[A-Za-z_$][\w$.-]*")
 
 
@@ -58,8 +64,37 @@ class Token(NamedTuple):
 
 
 class Literal(NamedTuple):
-    value: str
-    spans: tuple[tuple[int, int], ...]
+    """What the score needs of a literal, and where it stands in the source. A
+    concatenation adds up in time that does not depend on the literal's length;
+    ``parts`` is a span or the two literals' parts."""
+
+    length: int
+    counts: dict[str, int]
+    head: str  # its first and last characters, whole where it is short
+    tail: str
+    words: int
+    parts: tuple
+
+    @classmethod
+    def of(cls, value: str, start: int, end: int) -> Literal:
+        return cls(len(value), Counter(value), value[:HEAD], value[-HEAD:], len(value.split()), (start, end))
+
+    def __add__(self, other: Literal) -> Literal:
+        counts = dict(self.counts)
+        for c, n in other.counts.items():
+            counts[c] = counts.get(c, 0) + n
+        head = self.head if self.length >= HEAD else (self.head + other.head)[:HEAD]
+        tail = other.tail if other.length >= HEAD else (self.tail + other.tail)[-HEAD:]
+        joined = bool(self.tail and other.head) and not self.tail[-1].isspace() and not other.head[0].isspace()
+        return Literal(self.length + other.length, counts, head, tail, self.words + other.words - joined, (self.parts, other.parts))
+
+    def placeholder(self) -> bool:
+        if self.length <= HEAD:
+            return bool(PLACEHOLDER.match(self.head))
+        if set(self.counts) <= {"x", "X"} or len(self.counts) == 1 and next(iter(self.counts)) in "*.":
+            return True
+        # a long one: what is between its ends does not matter, but a line's end does
+        return "\n" not in self.counts and bool(PLACEHOLDER.match(self.head + self.tail))
 
 
 def name_score(name: str) -> float:
@@ -70,13 +105,14 @@ def name_score(name: str) -> float:
     return best
 
 
-def literal_score(value: str) -> float:
+def literal_score(value: Literal) -> float:
     """0 for placeholders and words; near 1 for long, mixed, uneven literals."""
-    if len(value) < 8 or PLACEHOLDER.match(value):
+    if value.length < 8 or value.placeholder():
         return 0.0
-    bits = -sum(c / len(value) * math.log2(c / len(value)) for c in Counter(value).values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^\w\s]"))
-    return max(0.0, min(1.0, bits / 4) * (0.5 + 0.25 * min(kinds, 3) - 0.25) - 0.15 * len(value.split()) + 0.15)
+    bits = -sum(c / value.length * math.log2(c / value.length) for c in value.counts.values())
+    signs = "".join(value.counts)
+    kinds = sum(bool(re.search(p, signs)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^\w\s]"))
+    return max(0.0, min(1.0, bits / 4) * (0.5 + 0.25 * min(kinds, 3) - 0.25) - 0.15 * min(value.words, 100) + 0.15)
 
 
 def tokens_of(text: str) -> list[Token]:
@@ -93,9 +129,9 @@ def pairs(text: str) -> Iterator[tuple[str, Literal]]:
         t = tokens[k]
         if t.kind == "string":
             q = 3 if text[t.start:t.start + 3] in ('"""', "'''") and t.end - t.start >= 6 else 1
-            return Literal(text[t.start + q:t.end - q], ((t.start + q, t.end - q),))
+            return Literal.of(text[t.start + q:t.end - q], t.start + q, t.end - q)
         if t.kind == "word":
-            return known.get(at(k)) or Literal(at(k), ((t.start, t.end),))
+            return known.get(at(k)) or Literal.of(at(k), t.start, t.end)
         return None
 
     for k, t in enumerate(tokens):
@@ -109,15 +145,15 @@ def pairs(text: str) -> Iterator[tuple[str, Literal]]:
                 v = k + 4  # name: type = literal
         else:
             continue
-        value, spans = "", ()
+        value = None
         while v < len(tokens) and (part := operand(v)):
-            value, spans = value + part.value, spans + part.spans
+            value = value + part if value else part
             if at(v + 1) != "+" and not (v + 1 < len(tokens) and tokens[v].kind == tokens[v + 1].kind == "string"):
                 break
             v += 2 if at(v + 1) == "+" else 1
-        if spans:
-            known[name] = Literal(value, spans)
-            yield name, known[name]
+        if value:
+            known[name] = value
+            yield name, value
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -128,11 +164,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def lexed_spans(text: str, threshold: float) -> list[tuple[int, int, int]]:
-    found = set()
+    found, seen, kept = set(), set(), []
     for name, literal in pairs(text):
-        if (n := name_score(name)) and n * literal_score(literal.value) >= threshold:
-            found.update((3, s, e) for s, e in literal.spans if e > s)
-    return sorted(found)
+        if (n := name_score(name)) and n * literal_score(literal) >= threshold:
+            todo = [literal.parts]
+            while todo:  # parts shared by several literals are looked at once
+                part = todo.pop()
+                if id(part) in seen:
+                    continue
+                if isinstance(part[0], int):
+                    found.add(part)
+                else:
+                    seen.add(id(part))
+                    kept.append(part)
+                    todo += part
+    return sorted((3, s, e) for s, e in found if e > s)
 
 
 def scan(text: bytes, threshold: float) -> list[tuple[int, int, int]]:
@@ -164,6 +210,7 @@ def scan_secrets(docs: DataFrame, threshold: float = 0.45, mark: str = "[REDACTE
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+        fresh_worker("secrets")
         for batch in batches:
             texts = batch.column(1).to_pylist()
             found = [scan(t, threshold) for t in texts]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm.common import fold, id_and_bytes, schema_with, table
+from keelson.llm.common import beside_text, fold, fresh_worker, id_and_bytes, rows_again, schema_with, table
 from keelson.llm.linear import Cache, Scorer, fit
 
 # identity terms that stand for each other (fixed values)
@@ -80,43 +80,49 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, penalty
     found = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")  # sample_rows rows of two numbers
 
     def featurise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Cache(features)
-        for batch in batches:
-            words = [tokens(t) for t in batch.column(2).to_pylist()]
-            own = [sorted(cache.union(w)) for w in words]
-            other = [sorted(cache.union(c)) if (c := counterfactual(w)) else None for w in words]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.list_(pa.int64())),
-                                              pa.array(other, pa.list_(pa.int64()))], ["doc_id", "label", "own", "other"])
+        fresh_worker("toxicity")
+        cache = Cache(features, 100_000)
+        flat = lambda words: np.sort(np.fromiter(cache.union(words), np.uint32)).view(np.int32)
+        for whole in batches:
+            for batch in (whole.slice(k, 100) for k in range(0, whole.num_rows, 100)):
+                words = [tokens(t) for t in batch.column(2).to_pylist()]
+                own = [flat(w) for w in words]
+                other = [flat(c) if (c := counterfactual(w)) else None for w in words]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.list_(pa.int32())),
+                                                  pa.array(other, pa.list_(pa.int32()))], ["doc_id", "label", "own", "other"])
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker("toxicity")
         rows = []
         for b in batches:
             for i, (key, y) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 other = b.column(3)[i].values
-                rows.append((key, y, b.column(2)[i].values.to_numpy(), None if other is None else other.to_numpy()))
+                rows.append((key, y, b.column(2)[i].values.to_numpy().view(np.uint32), None if other is None else other.to_numpy().view(np.uint32)))
         rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
         model = fit([r[2] for r in rows], np.array([r[1] for r in rows], np.float64),
                     [(i, r[3]) for i, r in enumerate(rows) if r[3] is not None], penalty)
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps([model.bias, list(model.weights.items())])])], ["model"])
 
-    fitted = found.mapInArrow(featurise, "doc_id long, label int, own array<long>, other array<long>").repartition(1).mapInArrow(
+    fitted = found.mapInArrow(featurise, "doc_id long, label int, own array<int>, other array<int>").repartition(1).mapInArrow(
         train, "model string").first()
     bias, weights = json.loads(fitted["model"]) if fitted else (-20.0, [])
     return Scorer(bias, dict(map(tuple, weights)))
 
 
-def score(docs: DataFrame, model: Scorer, carry: tuple = ()) -> DataFrame:
-    """doc_id, the columns ``carry`` and the score of every row."""
+def score(docs: DataFrame, model: Scorer, carry: tuple = (), with_text: bool = False) -> DataFrame:
+    """doc_id, the columns ``carry`` and the score of every row, and the text's bytes if asked for."""
     rows = id_and_bytes(docs, *carry)
+    passed = range(rows.schema.names.index("doc_id") + (1 if with_text else 2), len(rows.columns))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker("toxicity")
         cache = Cache(lambda t: [f for f in features(t) or () if f in model.weights] or None)
         for batch in batches:
             scores = [model.score(cache.union(tokens(t.decode("utf-8", "replace")))) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(scores, pa.float64())],
-                                             [batch.schema.names[0], *batch.schema.names[2:], "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(batch.column(i) for i in passed), pa.array(scores, pa.float64())],
+                                             [batch.schema.names[0], *(batch.schema.names[i] for i in passed), "score"])
 
-    return rows.mapInArrow(run, schema_with(rows, "score double"))
+    return rows.mapInArrow(run, schema_with(rows, "score double", () if with_text else ("text",)))
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame) -> Scorer:
@@ -128,8 +134,8 @@ THRESHOLD = 0.3
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``."""
-    scored = score(docs, learn_toxicity(docs, labels), (F.struct(*docs.columns).alias("doc"),))
-    return scored.filter(F.col("score") < threshold).select("doc.*")
+    scored = score(docs, learn_toxicity(docs, labels), beside_text(docs), with_text=True)
+    return rows_again(scored.filter(F.col("score") < threshold), docs, F.col("text"))
 
 
 def op10(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -30,8 +30,10 @@ def test_all_but_the_last_stage_keep_the_columns(stages):
 
 
 def test_one_document_of_each_group_stays(stages):
+    cp = importlib.import_module("corpus_pipeline")
     rows = [(r["doc_id"], r["text"]) for r in stages["toxicity"].collect()]
-    assert sorted(r["doc_id"] for r in stages["near_copies"].collect()) == sorted({c for _, _, c in component_rows(rows)})
+    firsts = {c for _, _, c in component_rows(rows, percent=cp.NEAR_PERCENT, size=cp.NEAR_WORDS)}
+    assert sorted(r["doc_id"] for r in stages["near_copies"].collect()) == sorted(firsts)
 
 
 def test_benchmark_windows_are_gone_and_clean_texts_stay(spark, stages):
@@ -92,3 +94,20 @@ def test_near_copies_by_five_words_and_four_fifths(spark):
     texts = [(1, " ".join(base)), (2, " ".join(base + [f"new{k}" for k in range(14)])),
              (3, " ".join(f"v{k}" for k in range(100))), (4, " ".join([f"v{k}" for k in range(100)] + [f"far{k}" for k in range(30)]))]
     assert sorted(r["doc_id"] for r in cp.drop_near_copies(spark, docs_of(spark, texts), SF).collect()) == [1, 3, 4]
+
+
+def test_stages_take_awkward_rows_and_empty_tables(spark, tmp_path):
+    """Nulls in every column, empty and blank texts, repeated rows and ids,
+    extra columns whose names the operators use themselves."""
+    from helpers import awkward, docs_of
+
+    cp = importlib.import_module("corpus_pipeline")
+    for name, docs in (("rows", docs_of(spark, awkward() + [(11, "password=hunter2hunter2 " + "w " * 9), (12, None)])), ("none", docs_of(spark, awkward()).limit(0))):
+        before = docs.count()
+        for stage, fn in cp.STAGES:
+            fn(spark, docs, SF).write.parquet(f"{tmp_path}/{name}/{stage}")
+            out = spark.read.parquet(f"{tmp_path}/{name}/{stage}")
+            if stage != "packing":
+                assert out.dtypes == docs.dtypes and out.count() <= before
+            docs, before = out, out.count()
+        assert (before > 0) == (name == "rows")

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from helpers import awkward, docs_of
@@ -56,3 +57,24 @@ def test_redaction_leaves_no_base_span(spark):
         assert (r["clean"] is None) == (not r["spans"])
         assert not brute(r["clean"])
     assert sc.op3(docs_of(spark, docs).limit(0)).count() == 0
+
+
+def test_chained_constants_cost_no_more_than_their_lines():
+    doubled = "key = 'aB3dE6gH9'\n" + "key = key + key\n" * 300 + "password = key\n"
+    assert [doubled[s:e] for _, s, e in sc.lexed_spans(doubled, 0.45)] == ["aB3dE6gH9"]
+    grown = "part = 'aB3$'\n" + "".join(f"part = part + 'x{i}Qz'\n" for i in range(20_000)) + "api_key = part\n" * 20_000
+    assert len(sc.lexed_spans(grown, 0.45)) == 20_001
+
+
+def test_a_literal_adds_up_as_its_text_does():
+    rng = random.Random(2)
+    pieces = ["", " ", "x", "X" * 40, "a b", "your ", "<tag", ">", "${A}", "9zQ$", "line\n", "....", "**", "pass word", "{{", "}}", "q7" * 50]
+    for _ in range(3000):
+        some = [rng.choice(pieces) for _ in range(rng.randrange(1, 7))]
+        whole = sc.Literal.of("".join(some), 0, 1)
+        added = sc.Literal.of(some[0], 0, 1)
+        for p in some[1:]:
+            added = added + sc.Literal.of(p, 0, 1)
+        assert whole._replace(parts=()) == added._replace(parts=(), counts=sc.Counter(added.counts))
+        value = "".join(some)
+        assert added.placeholder() == bool(sc.PLACEHOLDER.match(value)) or len(value) > sc.HEAD and "\n" in value
