@@ -4,14 +4,18 @@ of the texts, and the rest is packed into token sequences.
 
 Every stage takes (spark, docs, sf_dir) and works on all that the stage before
 it kept; ``run`` writes each stage's result as Parquet in the shared folder
-and reads it again for the next."""
+and reads it again for the next.
+
+Cases: null and empty texts and null ids pass through the filters; of repeated
+rows one stays; an empty table gives an empty result; extra columns keep their
+values, whatever their names (``n_chars`` follows the text)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm.common import table
+from keelson.llm.common import beside_text, rows_again, table
 from keelson.llm.decontaminate import decontaminate
 from keelson.llm.packing import pack, tokenizer_path
 from keelson.llm.secrets import scan_secrets
@@ -25,12 +29,11 @@ MAX_COVERAGE = 0.8
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
-def with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
-    """``docs`` with another column's text, and its length where it is kept."""
-    new = docs.withColumn("text", F.col(text))
-    if "n_chars" in columns:
-        new = new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return new.select(*columns)
+def with_length(docs: DataFrame) -> DataFrame:
+    """``docs`` with its text's length where it is kept."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,13 +45,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark"), max_coverage=MAX_COVERAGE, keep=tuple(docs.columns))
-    return with_text(found.filter(~F.col("rejected")), docs.columns, "clean")
+    named = docs.select("doc_id", "text", *beside_text(docs))
+    found = decontaminate(named, table(spark, sf_dir, "benchmark"), max_coverage=MAX_COVERAGE, keep=tuple(named.columns))
+    return with_length(rows_again(found.filter(~F.col("rejected")), docs, F.col("clean")))
 
 
 def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = scan_secrets(docs, carry=(F.struct(*docs.columns).alias("doc"),))
-    return with_text(found.select("doc.*", F.coalesce("clean", "doc.text").alias("__clean")), docs.columns, "__clean")
+    found = scan_secrets(docs, carry=(*beside_text(docs), F.col("text").alias("own")))
+    return with_length(rows_again(found, docs, F.coalesce("clean", "own")))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
