@@ -13,9 +13,13 @@ in a single write.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
+import os
 import time
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +40,9 @@ EVENTS = T.StructType([
     T.StructField("seq", T.LongType())])
 
 
+#: seconds after which a claimed version without a row is taken for left behind
+UNFINISHED = 60
+
 # --- query operators ----------------------------------------------------------
 
 def current_stage(events: DataFrame) -> DataFrame:
@@ -114,9 +121,56 @@ def next_versions(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 # --- store ---------------------------------------------------------------------
 
+class StaleState(RuntimeError):
+    """The stages of a model changed between reading and writing them."""
+
+
+def claim(spark: SparkSession, path: str, content: str) -> bool:
+    """Create a file if it is absent, as one step of the file system; False if
+    it is there already. On local disks that is the exclusive open; elsewhere
+    the file system's create without overwriting."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf)
+    if fs.getUri().getScheme() == "file":
+        local = target.toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            with open(local, "x") as f:
+                f.write(content)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError:
+        if fs.exists(target):
+            return False
+        raise
+    out.write(bytearray(content.encode()))
+    out.close()
+    return True
+
+
+def claims(spark: SparkSession, folder: str) -> dict[int, str]:
+    """The numbers claimed in a folder, with what was written there."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return {}
+    found = [str(f.getPath()) for f in fs.listStatus(root) if f.getPath().getName().isdigit()]
+    return {int(r["path"].rsplit("/", 1)[1]): r["value"] for r in spark.read.text(found, wholetext=True).select(
+        "value", F.input_file_name().alias("path")).collect()} if found else {}
+
+
 class ModelRegistry:
-    """Append-only registry. Single writer per model name is assumed:
-    two concurrent registrations could pick the same version number."""
+    """Append-only registry for any number of writers. A version number is
+    claimed by creating a file of that number, which one writer alone can; the
+    file holds the registration, so that a writer that ends before its row is
+    appended leaves no gap: the next one appends it. A change of stages claims
+    the number of the state it was decided on, and is refused (``StaleState``)
+    if another change came first."""
 
     TABLES = {"model_versions": VERSIONS, "version_notes": NOTES, "stage_events": EVENTS}
 
@@ -137,12 +191,29 @@ class ModelRegistry:
     def _now():
         return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
+    def _claims(self, kind: str, name: str) -> str:
+        return f"{self.root}/claims/{kind}-{hashlib.md5(name.encode()).hexdigest()}"
+
+    def _add_versions(self, name: str, told: dict[int, str]) -> None:
+        rows = []
+        for version, content in told.items():
+            run_id, source_uri, at = json.loads(content)
+            rows.append((name, version, run_id, source_uri, dt.datetime.fromisoformat(at)))
+        self._append("model_versions", self.spark.createDataFrame(rows, VERSIONS))
+
     def register(self, name: str, run_id: str, source_uri: str) -> int:
-        """I1 for one model: version = max(version) + 1 for the name."""
-        row = self.table("model_versions").filter(F.col("name") == name).agg(F.max("version")).first()
-        version = (row[0] or 0) + 1
-        self._append("model_versions", self.spark.createDataFrame(
-            [(name, version, run_id, source_uri, self._now())], VERSIONS))
+        """I1 for one model: the next version number of the name that no
+        other writer has. Rows that a writer left unappended for a minute are appended."""
+        folder = self._claims("version", name)
+        told = json.dumps([run_id, source_uri, self._now().isoformat()])
+        row = self.table("model_versions").filter(F.col("name") == name).agg(F.max("version"), F.collect_set("version")).first()
+        version = max([row[0] or 0, *claims(self.spark, folder)]) + 1
+        while not claim(self.spark, f"{folder}/{version}", told):
+            version += 1
+        own = {version: told}
+        limit = (self._now() - dt.timedelta(seconds=UNFINISHED)).isoformat()
+        own |= {v: c for v, c in claims(self.spark, folder).items() if v not in row[1] and v < version and c and json.loads(c)[2] < limit}
+        self._add_versions(name, own)
         return version
 
     def describe(self, name: str, version: int, description: str) -> None:
@@ -154,9 +225,16 @@ class ModelRegistry:
         """I3; stages other than the configured ones are refused."""
         if stage not in STAGES:
             raise ValueError(f"unknown stage {stage!r}; one of {STAGES}")
+        state = self.state(name)
+        while not claim(self.spark, f"{self._claims('stage', name)}/{state}", stage):
+            state += 1
         self.append_events(self.spark.createDataFrame(
             [(name, int(version), stage)], "name string, version long, stage string"))
 
+    def state(self, name: str) -> int:
+        """The number of the next change of the model's stages."""
+        return max(claims(self.spark, self._claims("stage", name)), default=-1) + 1
+
     def append_events(self, ev: DataFrame) -> None:
         seq0 = time.time_ns()
         ordered = ev.withColumn("ord", F.col("ord") if "ord" in ev.columns else F.lit(0))
@@ -166,7 +244,7 @@ class ModelRegistry:
 
     def versions(self, name: str | None = None) -> DataFrame:
         """I4 (B5 when a name is given)."""
-        v = self.table("model_versions")
+        v = self.table("model_versions").dropDuplicates(["name", "version"])  # a row may have been appended for its writer
         if name is not None:
             v = v.filter(F.col("name") == name)
         return versions_with_stage(v, self.table("stage_events"))
@@ -177,8 +255,10 @@ class ModelRegistry:
         return vs.orderBy(F.col("version").desc()).select("version", "source_uri").first()
 
     def promote_if_better(self, name: str, candidate_version: int, metrics: DataFrame,
-                          key: str = "MAPE") -> DataFrame:
-        """I6–I8 in one plan, one append. Returns the events written."""
+                          key: str = "MAPE", state: int | None = None) -> DataFrame:
+        """I6–I8 in one plan, one append. Returns the events written. ``state``
+        is the state the caller decided on, by default the one found here."""
+        state = self.state(name) if state is None else state
         vs = self.versions(name)
         cand = vs.filter(F.col("version") == candidate_version).select("name", "version", "run_id")
         cur = current_staging(vs, exclude=cand)
@@ -186,5 +266,7 @@ class ModelRegistry:
         rows = promotion_events(compare(cand, cur, metrics, key)).collect()
         ev = self.spark.createDataFrame(rows, "name string, version long, stage string, ord int")
         if rows:
+            if not claim(self.spark, f"{self._claims('stage', name)}/{state}", f"version {candidate_version}"):
+                raise StaleState(f"the stages of {name} have changed since state {state}")
             self.append_events(ev)
         return ev

@@ -226,26 +226,6 @@ class TrackingStore:
         if rows:
             append_rows(self.spark.createDataFrame(rows, self.TABLES[name]), self.path(name))
 
-    def compact(self, name: str, target_bytes: int = 128 << 20) -> None:
-        """Gather the small folders of an append-only table in one with files
-        of about ``target_bytes``. Rows appended meanwhile stay where they are.
-        For the moment between the last two steps a reader sees gathered rows
-        twice, which "latest wins" does not mind; none is ever missing."""
-        from keelson.session import input_bytes
-
-        folders = appended(self.spark, self.path(name))
-        if len(folders) < 2:
-            return
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        n_files = max(1, -(-input_bytes(self.spark, folders) // target_bytes))
-        new = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        hidden, shown = (jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{x}{new}") for x in ("_", "a-"))
-        self.spark.read.schema(self.TABLES[name]).parquet(*folders).repartition(n_files).write.parquet(str(hidden))
-        fs = hidden.getFileSystem(conf)
-        fs.rename(hidden, shown)
-        for f in folders:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f), True)
-
     def create_experiment(self, name: str) -> int:
         eid = experiment_id_for(name)
         if self.table("experiments").filter(F.col("experiment_id") == eid).limit(1).count() == 0:

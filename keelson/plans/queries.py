@@ -527,6 +527,42 @@ top AS (SELECT *, row_number() OVER (PARTITION BY family, param ORDER BY score D
 SELECT family, param, value, round(score, 9) AS score, n_good, n_bad FROM top WHERE rn = 1"""
 
 
+RANGE = (1.0, 50.0)
+
+
+def q_suggest_ranges(spark, sf):
+    """G6 for ranges: part sizes as a range, one suggestion for each part type."""
+    _prep(spark)
+    tv = TB.trials_v(spark, sf)
+    long = tv.select("family", "trial_id", "loss", F.lit("p_size").alias("param"), F.col("p_size").cast("double").alias("value"))
+    ranges = tv.select("family").distinct().select("family", F.lit("p_size").alias("param"), F.lit(RANGE[0]).alias("low"), F.lit(RANGE[1]).alias("high"))
+    out = SR.suggest_ranges(long, ranges, gamma=0.25)
+    return out.select("family", "param", *[F.round(c, 6).alias(c) for c in ("value", "good_density", "bad_density")])
+
+
+def _suggest_ranges_sql() -> str:
+    unit = lambda what: f"({sql_hash32(['family', 'param', 'j'], f'42|{what}')} / 4294967296.0)"
+    names = ["pick", "flat", *[f"{a}{i}" for i in range(SR.TRIES) for a in "ab"]]
+    point = SR.drawn("mu", SR.bandwidth("low", "high", "n_good"), "low", "high", [(f"a{i}", f"b{i}") for i in range(SR.TRIES)], "flat")
+    dense = {side: f"(1.0 / (high - low) + coalesce(sum({SR.kernel('x', 'mu', SR.bandwidth('low', 'high', f'n_{side}'), 'low', 'high')}) FILTER ({flag}), 0)) / (n_{side} + 1)"
+             for side, flag in (("good", "good"), ("bad", "NOT good"))}
+    return f"""WITH tv AS ({TRIALS_SQL}),
+lab AS (SELECT family, trial_id, 'p_size' AS param, CAST(p_size AS DOUBLE) AS mu, row_number() OVER (PARTITION BY family ORDER BY loss, trial_id) AS rk,
+  count(*) OVER (PARTITION BY family) AS n FROM tv),
+seen AS (SELECT *, rk <= ceil(n * 0.25) AS good, ceil(n * 0.25) AS g FROM lab WHERE mu IS NOT NULL),
+sides AS (SELECT family, param, max(g) AS g, count(*) FILTER (good) AS n_good, count(*) FILTER (NOT good) AS n_bad, {RANGE[0]} AS low, {RANGE[1]} AS high FROM seen GROUP BY ALL),
+c AS (SELECT *, floor(pick * (g + 1)) AS component FROM (SELECT *, {', '.join(f'{unit(w)} AS {w}' for w in names)} FROM sides, (SELECT unnest(range(24)) AS j))),
+p AS (SELECT c.family, c.param, c.j, c.low, c.high, c.n_good, c.n_bad, {point} AS x FROM c LEFT JOIN (SELECT family, rk, mu FROM seen WHERE good) s
+  ON c.family = s.family AND c.component = s.rk),
+d AS (SELECT p.family, p.param, p.j, p.x, {dense['good']} AS good_density, {dense['bad']} AS bad_density FROM p JOIN seen USING (family, param)
+  GROUP BY p.family, p.param, p.j, p.x, low, high, n_good, n_bad)
+SELECT family, param, round(x, 6) AS value, round(good_density, 6) AS good_density, round(bad_density, 6) AS bad_density FROM d
+QUALIFY row_number() OVER (PARTITION BY family, param ORDER BY round(good_density / bad_density, 9) DESC, j) = 1"""
+
+
+SQL_SUGGEST_RANGES = _suggest_ranges_sql()
+
+
 # --- H: tracking ---------------------------------------------------------------
 
 def _runs_wide(spark, sf):
@@ -1014,6 +1050,7 @@ SQL_QUERIES: dict[str, tuple[SparkQuery, str]] = {
     "space_decode": (q_space_decode, SQL_SPACE_DECODE),
     "param_fallback": (q_param_fallback, SQL_PARAM_FALLBACK),
     "suggest_density": (q_suggest_density, SQL_SUGGEST_DENSITY),
+    "suggest_ranges": (q_suggest_ranges, SQL_SUGGEST_RANGES),
     "experiments_list": (q_experiments_list, SQL_EXPERIMENTS_LIST),
     "experiment_by_name": (q_experiment_by_name, SQL_EXPERIMENT_BY_NAME),
     "runs_wide": (q_runs_wide, SQL_RUNS_WIDE),

@@ -57,12 +57,68 @@ def test_failed_run_is_recorded(spark, tmp_path):
     assert store.table("run_params").count() == 1
 
 
-def test_compact_keeps_rows(spark, tmp_path):
-    store = TrackingStore(spark, str(tmp_path / "track"))
-    for i in range(3):
-        with store.start_run("e", f"r{i}") as r:
-            r.log_metric("MAPE", 0.1 * i)
-    before = sorted(tuple(x) for x in store.table("run_metrics").select("run_id", "key", "value").collect())
-    store.compact("run_metrics")
-    after = sorted(tuple(x) for x in store.table("run_metrics").select("run_id", "key", "value").collect())
-    assert before == after and len(after) == 3
+REGISTER = """
+import sys
+sys.path.insert(0, {root!r})
+from keelson.session import get_session
+from keelson.operators.registry import ModelRegistry
+spark = get_session(app="other", master="local[1]", shuffle_partitions=2)
+r = ModelRegistry(spark, {folder!r})
+print("GOT", [r.register("m", "other-%d" % i, "u") for i in range(4)])
+"""
+
+
+def test_writers_of_two_processes_get_different_versions(spark, tmp_path):
+    import subprocess
+    import sys
+    from concurrent.futures import ThreadPoolExecutor
+
+    from conftest import ROOT
+
+    folder = str(tmp_path / "r")
+    other = subprocess.Popen([sys.executable, "-c", REGISTER.format(root=ROOT, folder=folder)], stdout=subprocess.PIPE, stderr=subprocess.DEVNULL, text=True)
+
+    def some(k):
+        registry = ModelRegistry(spark, folder)
+        return [registry.register("m", f"run-{k}-{i}", "u") for i in range(5)]
+
+    with ThreadPoolExecutor(3) as pool:
+        own = [v for part in pool.map(some, range(3)) for v in part]
+    told = next(line for line in other.communicate(timeout=200)[0].splitlines() if line.startswith("GOT"))
+    everyone = own + eval(told[4:])
+    assert sorted(everyone) == list(range(1, 20))
+    rows = ModelRegistry(spark, folder).versions("m").collect()
+    assert sorted(r["version"] for r in rows) == list(range(1, 20)) and len({r["run_id"] for r in rows}) == 19
+
+
+def test_a_claim_left_behind_leaves_no_gap(spark, tmp_path, monkeypatch):
+    from keelson.operators import registry as RG
+
+    r = ModelRegistry(spark, str(tmp_path / "r"))
+    with monkeypatch.context() as m:
+        m.setattr(r, "_add_versions", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+        try:
+            r.register("m", "lost", "u")
+        except OSError:
+            pass
+    assert r.register("m", "second", "u") == 2 and {x["version"] for x in r.versions("m").collect()} == {2}
+    monkeypatch.setattr(RG, "UNFINISHED", -1)
+    assert r.register("m", "third", "u") == 3
+    assert {(x["version"], x["run_id"]) for x in r.versions("m").collect()} == {(1, "lost"), (2, "second"), (3, "third")}
+
+
+def test_a_promotion_on_an_older_state_is_refused(spark, tmp_path):
+    import pytest
+
+    from keelson.operators.registry import StaleState
+
+    r = ModelRegistry(spark, str(tmp_path / "r"))
+    metrics = spark.createDataFrame([("a", "MAPE", 0.3, dt.datetime(2024, 1, 1)), ("b", "MAPE", 0.2, dt.datetime(2024, 1, 1))],
+                                    "run_id string, key string, value double, ts timestamp")
+    for run in ("a", "b"):
+        r.register("m", run, "u")
+    before = r.state("m")
+    r.transition("m", 1, "Staging")
+    with pytest.raises(StaleState):
+        r.promote_if_better("m", 2, metrics, state=before)
+    assert [(x["version"], x["stage"]) for x in r.promote_if_better("m", 2, metrics).collect()] == [(2, "Staging"), (1, "Archived")]
