@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from keelson import session as S
 from keelson.config import MODEL_CONFIG, RANDOM_FOREST_HAND_SET, RUN_NAMES, SPACES, RunConfig, family_defaults
+from keelson.functions.quantiles import quantile_edges
 from keelson.operators import evaluate as EV
 from keelson.operators import grow as G
 from keelson.operators import models as M
@@ -249,6 +250,59 @@ def q_roundtrip_model(spark, sf):
 SQL_ROUNDTRIP_MODEL = f"SELECT count(*) AS n, CAST(0 AS DOUBLE) AS max_abs_diff FROM ({TEST_SQL})"
 
 
+BIN_SHARES = [i / 16 for i in range(1, 16)]
+
+
+def q_bin_edges(spark, sf):
+    """Bin edges of every feature over all rows: the exact quantiles,
+    and whether those of a stated rank error keep to it."""
+    reg = TB.reg(spark, sf).persist()
+    exact = quantile_edges(reg, CFG.features, BIN_SHARES)
+    near = quantile_edges(reg.repartition(7), CFG.features, BIN_SHARES, error=0.002)
+    ranks = reg.agg(*[F.count_if(F.col(c) <= v).alias(f"r{i}_{j}") for i, c in enumerate(CFG.features) for j, v in enumerate(near[i])],
+                    *[F.count_if(F.col(c) < v).alias(f"b{i}_{j}") for i, c in enumerate(CFG.features) for j, v in enumerate(near[i])], F.count(F.lit(1)).alias("n")).first()
+    reg.unpersist()
+    rows = []
+    for i, c in enumerate(CFG.features):
+        for j, share in enumerate(BIN_SHARES):
+            rank = share * ranks["n"]
+            rows.append((c, j + 1, exact[i][j], ranks[f"r{i}_{j}"] >= rank and ranks[f"b{i}_{j}"] <= rank + 0.002 * ranks["n"]))
+    return spark.createDataFrame(rows, "feature string, at int, edge double, keeps_to_error boolean")
+
+
+SQL_BIN_EDGES = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({j} AS INTEGER) AS at, CAST(quantile_disc({c}, {share!r}) AS DOUBLE) AS edge, true AS keeps_to_error FROM ({REG_SQL})"
+    for c in CFG.features for j, share in enumerate(BIN_SHARES, 1))
+
+
+def q_run_artifacts(spark, sf):
+    """A run that logs its predictions and residuals as files; what
+    the run's artifact rows lead to, read back."""
+    store, _, _ = _store_and_registry(spark)
+    s = _splits(spark, sf)
+    scored = _forest(s).transform(s.test)
+    with store.start_run("files", "RandomForest") as r:
+        TN.log_scored(r, scored, CFG)
+        run_id = r.run_id
+    out = None
+    for name, fmt in (("predictions", "csv"), ("residuals", "parquet")):
+        uri = store.artifact_uri(run_id, name)
+        value = "prediction" if name == "predictions" else "residual"
+        files = FL.read_csv(spark, uri, ", ".join(f"{k} long" for k in CFG.keys) + ", prediction double") if fmt == "csv" else spark.read.parquet(uri)
+        logged = store.table("run_artifacts").filter((F.col("run_id") == run_id) & (F.col("path") == name)).count()
+        part = files.agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("key_sum"), F.round(F.sum(value), 1).alias("total")).select(
+            F.lit(name).alias("path"), F.lit(logged).cast("long").alias("n_logged"), "n", "key_sum", "total")
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
+_TEST_X = f"SELECT {_KEYS}, {', '.join(f'CAST({c} AS DOUBLE) AS x{i}' for i, c in enumerate(CFG.features))}, CAST({CFG.target} AS DOUBLE) AS y FROM ({TEST_SQL})"
+_SAID = predictions_sql(TRAIN_SQL, _TEST_X, CFG.features, [*TB.LINEITEM_KEY, "y", "value"], CFG.seed, _plan("random_forest", HAND_SET_PLAIN).settings)
+SQL_RUN_ARTIFACTS = (f"WITH said AS ({_SAID}) SELECT 'predictions' AS path, CAST(1 AS BIGINT) AS n_logged, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS key_sum, "
+                     "round(sum(value), 1) AS total FROM said UNION ALL SELECT 'residuals', CAST(1 AS BIGINT), count(*), CAST(sum(l_orderkey) AS BIGINT), "
+                     "round(sum(value - y), 1) FROM said")
+
+
 def q_csv_roundtrip(spark, sf):
     """A1 + A4: write the scored table as CSV with a header, read it back
     with an explicit schema (no inference pass)."""
@@ -323,6 +377,8 @@ ML_QUERIES = {
     "fit_gbt_leafwise": (q_fit_gbt_leafwise, _fit_sql("lightgbm", "scale_pos_weight=no effect")),
     "forest_first_levels": (q_forest_first_levels, SQL_FIRST_LEVELS),
     "gbt_first_split": (q_gbt_first_split, SQL_FIRST_SPLIT),
+    "bin_edges": (q_bin_edges, SQL_BIN_EDGES),
+    "run_artifacts": (q_run_artifacts, SQL_RUN_ARTIFACTS),
     "predict_batch": (q_predict_batch, SQL_PREDICT_BATCH),
     "tune_rf": (q_tune_rf, SQL_TUNE_RF),
     "tune_refit": (q_tune_refit, SQL_TUNE_REFIT),

@@ -85,6 +85,16 @@ class FamilyResult:
     phases: dict = field(default_factory=dict)
 
 
+def log_scored(run, scored: DataFrame, cfg: RunConfig) -> None:
+    """Predictions (key and value) and residuals as files of the run."""
+    uri = run.artifact_dir("predictions")
+    scored.select(*cfg.keys, "prediction").write.mode("overwrite").option("header", True).csv(uri)
+    run.log_artifact("predictions", uri)
+    uri = run.artifact_dir("residuals")
+    EV.with_residual(scored, cfg.target, "prediction").select(*cfg.keys, "residual").write.mode("overwrite").parquet(uri)
+    run.log_artifact("residuals", uri)
+
+
 def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, store: TrackingStore | None,
                  experiment: str, max_evals: int, parallelism: int, space: dict | None = None) -> FamilyResult:
     """One family: search (its own run), then refit and evaluate (a second
@@ -130,14 +140,7 @@ def train_family(spark: SparkSession, family: str, s: Splits, cfg: RunConfig, st
             run.log_metric("Dataset_Size", m["n_train"])
             run.log_metric("Number_of_variables", len(cfg.features))
             run.log_model(model, run_name)
-            # Predictions (key + value) and residuals as files of the run
-            pred_uri = run.artifact_dir("predictions")
-            scored.select(*cfg.keys, "prediction").write.mode("overwrite").option("header", True).csv(pred_uri)
-            run.log_artifact("predictions", pred_uri)
-            res_uri = run.artifact_dir("residuals")
-            EV.with_residual(scored, cfg.target, "prediction").select(*cfg.keys, "residual") \
-                .write.mode("overwrite").parquet(res_uri)
-            run.log_artifact("residuals", res_uri)
+            log_scored(run, scored, cfg)
         scored.unpersist()
         return m, spec.flags
 

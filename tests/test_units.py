@@ -348,3 +348,36 @@ def test_wide_profiles_chunk(spark):
     z = {r["column"]: r["n_zero"] for r in PR.zero_counts(df, cols).collect()}
     assert z["c0"] == sum(1 for r in rows if r[0] == 0)
     assert PR.missing_counts(df, cols).count() == 40
+
+
+def test_quantiles_against_sorting(spark):
+    import random
+
+    from keelson.functions.quantiles import quantile_edges
+
+    rng = random.Random(3)
+    cols = {"a": [rng.choice([0.0, -0.0, 1.5, -2.0, 1e300, -1e-300]) for _ in range(600)], "b": [rng.gauss(0, 1) * 10 ** rng.randrange(-200, 200) for _ in range(600)],
+            "c": [7.0] * 600, "d": [None] * 600, "e": [rng.choice([float("nan"), None, 3.0, 4.0]) for _ in range(600)], "f": [float(i) for i in range(600)]}
+    df = spark.createDataFrame(list(zip(*cols.values())), ", ".join(f"{c} double" for c in cols))
+    shares = [0.0, 0.001, 0.1, 0.25, 0.5, 0.9, 1.0]
+    for part in (df.repartition(5), df.coalesce(1)):
+        for name, got in zip(cols, quantile_edges(part, list(cols), shares)):
+            v = sorted(x for x in cols[name] if x is not None and not math.isnan(x))
+            assert got == ([v[max(1, math.ceil(q * len(v) - 1e-9)) - 1] for q in shares] if v else [None] * len(shares)), name
+    near = quantile_edges(df, list(cols), shares, error=0.02)
+    assert near == quantile_edges(df.repartition(7), list(cols), shares, error=0.02)
+    for name, got in zip(cols, near):
+        v = sorted(x for x in cols[name] if x is not None and not math.isnan(x))
+        for q, e in zip(shares, got) if v else ():
+            assert sum(x <= e for x in v) >= q * len(v) - 1e-6 and sum(x < e for x in v) <= max(1, q * len(v)) + 0.02 * len(v)
+    assert quantile_edges(df.limit(0), ["a"], [0.5]) == [[None]]
+
+
+def test_range_suggestions_favour_the_good_side(spark):
+    from keelson.operators import search as SR
+
+    rows = [("f", i, abs(i / 40 - 0.8), "p", i / 40) for i in range(41)]
+    long = spark.createDataFrame(rows, "family string, trial_id long, loss double, param string, value double")
+    ends = spark.createDataFrame([("f", "p", 0.0, 1.0)], "family string, param string, low double, high double")
+    got = [SR.suggest_ranges(long, ends, seed=s).first() for s in range(5)]
+    assert all(0.6 < r["value"] <= 1.0 and r["good_density"] > r["bad_density"] for r in got) and len({r["value"] for r in got}) == 5
