@@ -100,24 +100,31 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
 def pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     """D3: 2-D bin counts for every column pair (pair-plot off-diagonal).
 
-    Output is at most pairs × bins² rows at any input size. Pairs are taken
-    :data:`PAIRS_PER_AGGREGATE` at a time, so that a wide table's row is never
-    exploded into all of its pairs at once."""
+    Output is at most pairs × bins² rows at any input size. Where the bins of
+    all columns together have at most :data:`CELLS` combinations the rows are
+    grouped once by their combination, and the pairs are sums over those.
+    Otherwise pairs are taken :data:`PAIRS_PER_AGGREGATE` at a time, so that a
+    wide table's row is never exploded into all of its pairs at once."""
     cols = list(cols)
     mm = min_max(df, cols)
     binned = {c: bin_expr(F.col(c), *mm[c], bins) for c in cols if c in mm}
     pairs = list(combinations([c for c in cols if c in binned], 2))
-    out = None
-    for k in range(0, len(pairs), PAIRS_PER_AGGREGATE):
+    out, rows, per_part = None, df.withColumn("__n", F.lit(1)), PAIRS_PER_AGGREGATE
+    if pairs and (bins + 1) ** len(binned) <= CELLS:
+        names = {c: f"__b{i}" for i, c in enumerate(binned)}
+        rows = df.select(*[binned[c].alias(n) for c, n in names.items()]).groupBy(*names.values()).agg(F.count(F.lit(1)).alias("__n"))
+        binned, per_part = {c: F.col(n) for c, n in names.items()}, len(pairs)
+    for k in range(0, len(pairs), per_part):
         stacked = [F.struct(F.lit(a).alias("x_col"), F.lit(b).alias("y_col"),
-                            binned[a].alias("x_bin"), binned[b].alias("y_bin")) for a, b in pairs[k:k + PAIRS_PER_AGGREGATE]]
-        part = (df.select(F.explode(F.array(*stacked)).alias("s")).select("s.*")
+                            binned[a].alias("x_bin"), binned[b].alias("y_bin")) for a, b in pairs[k:k + per_part]]
+        part = (rows.select("__n", F.explode(F.array(*stacked)).alias("s")).select("__n", "s.*")
                 .filter(F.col("x_bin").isNotNull() & F.col("y_bin").isNotNull())
-                .groupBy("x_col", "y_col", "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("n")))
+                .groupBy("x_col", "y_col", "x_bin", "y_bin").agg(F.sum("__n").alias("n")))
         out = part if out is None else out.unionByName(part)
     return out
 
 
+CELLS = 1_000_000
 PAIRS_PER_AGGREGATE = 15  # 6 sum buffers per pair: stays under spark.sql.codegen.maxFields (100)
 
 

@@ -381,3 +381,12 @@ def test_range_suggestions_favour_the_good_side(spark):
     ends = spark.createDataFrame([("f", "p", 0.0, 1.0)], "family string, param string, low double, high double")
     got = [SR.suggest_ranges(long, ends, seed=s).first() for s in range(5)]
     assert all(0.6 < r["value"] <= 1.0 and r["good_density"] > r["bad_density"] for r in got) and len({r["value"] for r in got}) == 5
+
+
+def test_pair_bins_by_combination_and_by_pair(spark, monkeypatch):
+    df = spark.createDataFrame([(float(i % 7), float(i % 5), None if i % 3 else float(i)) for i in range(90)], "a double, b double, c double")
+    got = []
+    for cells in (PR.CELLS, 0):
+        monkeypatch.setattr(PR, "CELLS", cells)
+        got.append(sorted(map(tuple, PR.pair_bins(df, ["a", "b", "c"], 4).collect())))
+    assert got[0] == got[1] and {r[:2] for r in got[0]} == {("a", "b"), ("a", "c"), ("b", "c")}
