@@ -180,7 +180,7 @@ def item_blocks(items: DataFrame, block_bytes: int) -> list[int]:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = 1.0,
-                  block_bytes: int = 16 << 20, keep: tuple[str, ...] = ()) -> DataFrame:
+                  block_bytes: int = 2 << 20, keep: tuple[str, ...] = ()) -> DataFrame:
     """Per document: the words, the hit words, byte spans of the hits, the
     items found, the text without those spans, and ``rejected``: whether more
     than ``max_coverage`` of its words are hit. ``keep`` names input columns to

@@ -11,7 +11,8 @@ Counts are summed in every task, then by Spark; only the profiles (``places``
 n-grams for each language) travel to the tasks.
 
 Cases: null text, text without a letter, or nothing learned gives ``und`` and
-0; a null language is never learned; case is folded; rows stay one for one.
+0; a null language is never learned; case is folded; rows stay one for one; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ sums, by Spark.
 
 Cases: null text is empty; texts shorter than a span lose nothing; repeated
 rows are documents of their own; null ids are carried along; matches never
-cross documents. Documents are named by a 128-bit hash of their text.
+cross documents. Documents are named by a 128-bit hash of their text. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations

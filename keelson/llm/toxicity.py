@@ -12,7 +12,8 @@ is scored whole.
 
 Cases: null or empty text has no features and scores the bias; no labelled row
 scores 0; contradicting labels of one id count as toxic; rows stay one for
-one, repeated and null ids included (a null id counts as not held out).
+one, repeated and null ids included (a null id counts as not held out); an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -78,6 +79,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, penalty
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     found = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")  # sample_rows rows of two numbers
+    # an id may have many rows: then a hash of the text picks among them
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(F.broadcast(sample), "doc_id").count()
+    if rows > sample_rows:
+        found = found.filter(F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 40)) < int((1 << 40) * sample_rows / rows))
 
     def featurise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh_worker("toxicity")
