@@ -14,8 +14,8 @@ by their hashes, by the size of their gradients (one-sided sampling), or earlier
 trees are dropped (dart).
 
 Where the rows do not fit a task, :func:`boost_apart` runs the same rounds
-with each tree grown by the jobs of ``forests`` and the margins as a column of
-a written table.
+with each tree grown by the jobs of ``forests``, or by passes over the rows
+(:func:`leafwise_apart`), and the margins as a column of a written table.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from keelson import session as S
 from keelson.functions.exprs import MAPE_EPS
+from keelson.functions.quantiles import quantile_edges
 from keelson.operators import grow as G
 from keelson.operators.forests import PIECES, ForestModel, Frame, Plan, grown_apart, piece_of
 
@@ -176,12 +177,9 @@ class Rows:
 
 
 def binned_edges(v: np.ndarray, bins: int) -> np.ndarray:
-    """Cuts between the distinct values, or between those at equal ranks where there are more than ``bins``."""
-    own = np.unique(v)
-    if len(own) > bins:
-        own = np.unique(np.sort(v)[(np.arange(1, bins) * len(v)) // bins])
-        return own
-    return (own[:-1] + own[1:]) / 2 if len(own) > 1 else own
+    """The values at equal ranks: what :func:`quantile_edges` gives of a table."""
+    ranks = np.ceil(np.arange(1, bins) / bins * len(v) - 1e-9).astype(np.int64)
+    return np.unique(np.sort(v)[np.maximum(ranks, 1) - 1]) if len(v) else v
 
 
 def one_round(b: Boost, st: State, rows: Rows) -> G.Tree:
@@ -334,17 +332,193 @@ def fit_boosted(frame: Frame, b: Boost) -> ForestModel:
     return ForestModel.written(spark, path, frame.features, "sum", end["base"], {"rounds_fitted": end["done"], "rounds_kept": end["best_round"]})
 
 
+def said_by(trees: list[tuple[G.Tree, float]], features: int):
+    """A column: the sum of small trees' values for the features of ``x``, each
+    times its number. At most as many nodes as the rounds have leaves are sent along."""
+    packed = cloudpickle.dumps([(t.feature, t.cut, t.left, c * t.value) for t, c in trees])
+
+    @F.pandas_udf("double")
+    def add(x):
+        import pandas as pd
+
+        flat = np.stack(x.to_numpy()).T if len(x) else np.empty((features, 0))
+        out = np.zeros(len(x))
+        for feature, cut, left, value in pickle.loads(packed):
+            out += value[G.Tree(feature, cut, left, value, value, value).leaf_of(flat)]
+        return pd.Series(out)
+
+    return add(F.col("x"))
+
+
+def node_sums(rows: DataFrame, tree: G.Tree, wanted: list[int], edges: list[np.ndarray], cols: np.ndarray) -> dict[int, np.ndarray]:
+    """Sums (rows, weight, weighted target) over (node, feature, bin) of the
+    wanted nodes: partial in the tasks, added up by Spark; a node's sums are
+    at most features x bins rows."""
+    size = max(len(edges[c]) for c in cols) + 1
+    n_features, cells = len(cols), len(cols) * size
+    packed = cloudpickle.dumps((tree, [edges[c] for c in cols], {n: i for i, n in enumerate(wanted)}))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, own, slot = pickle.loads(packed)
+        slots = np.full(len(tree.feature), -1, np.int64)
+        slots[list(slot)] = list(slot.values())
+        sums = np.zeros((3, len(slot) * cells))
+        for batch in batches:
+            n = batch.num_rows
+            x = np.ascontiguousarray(batch.column("x").flatten().to_numpy().reshape(n, -1).T) if n else np.empty((1, 0))
+            if not n:
+                continue
+            y, w = batch.column("y").to_numpy(), batch.column("w").to_numpy()
+            at = slots[tree.leaf_of(x)]
+            some = np.flatnonzero((at >= 0) & (w > 0))
+            for f in range(n_features):
+                cell = at[some] * cells + f * size + np.searchsorted(own[f], x[cols[f], some], "left")
+                for k, v in enumerate((None, w[some], w[some] * y[some])):
+                    sums[k] += np.bincount(cell, v, sums.shape[1])
+        full = np.flatnonzero(sums[0])
+        yield pa.RecordBatch.from_arrays([pa.array(full), *(pa.array(v[full]) for v in sums)], ["cell", "n", "w", "wy"])
+
+    found = rows.select("x", "y", "w").mapInArrow(run, "cell long, n double, w double, wy double").groupBy("cell").agg(
+        F.sum("n").alias("n"), F.sum("w").alias("w"), F.sum("wy").alias("wy")).toArrow()
+    out = np.zeros((3, len(wanted) * cells))
+    out[:, found.column("cell").to_numpy()] = [found.column(c).to_numpy() for c in ("n", "w", "wy")]
+    by_node = out.reshape(3, len(wanted), n_features, size)
+    return {n: by_node[:, i] for i, n in enumerate(wanted)}
+
+
+def best_first_apart(rows: DataFrame, edges: list[np.ndarray], cols: np.ndarray, s: G.Settings, root_hash: int) -> G.Tree:
+    """The tree of :func:`best_first` over a table (x, y, w). A pass counts
+    the leaves that are not yet known and, ahead of time, the children that
+    the best known leaves would have, so passes are about as many as levels."""
+    feature, cut, left, value, n_rows, depth = [-1], [0.0], [-1], [0.0], [0], [0]
+    known: dict[int, tuple] = {}  # node -> (gain, column, bin)
+    children: dict[int, int] = {}
+
+    def best(sums: np.ndarray, node: int) -> tuple[float, int, int]:
+        n, sw, sy = sums[:, 0].sum(1)
+        value[node], n_rows[node] = sy / max(sw + s.lam, 1e-300), int(n)
+        if n < max(s.split, 2 * s.leaf) or (s.depth is not None and depth[node] >= s.depth):
+            return -np.inf, -1, 0
+        ln, lw, ly = np.cumsum(sums, 2)[:, :, :-1]
+        ok = (ln >= s.leaf) & (n - ln >= s.leaf) & (lw > 0) & (sw - lw > 0) & (lw >= s.least_weight) & (sw - lw >= s.least_weight)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            score = np.where(ok, ly**2 / (lw + s.lam) + (sy - ly) ** 2 / (sw - lw + s.lam), -np.inf)
+        at = int(score.argmax())
+        gain = (score.flat[at] - sy**2 / (sw + s.lam)) / 2
+        return (float(gain), *divmod(at, score.shape[1])) if gain > s.gamma else (-np.inf, -1, 0)
+
+    def ahead(node: int) -> None:
+        """Give a known node the children its best split makes."""
+        if node not in children and known[node][1] >= 0:
+            children[node] = len(value)
+            for _ in range(2):
+                for v, new in ((feature, -1), (cut, 0.0), (left, -1), (value, 0.0), (n_rows, 0), (depth, depth[node] + 1)):
+                    v.append(new)
+            _, f, b = known[node]
+            feature[node], cut[node], left[node] = int(cols[f]), float(edges[cols[f]][b]), children[node]
+
+    def arrays(splits: set[int]) -> G.Tree:
+        inner = np.isin(np.arange(len(value)), list(splits))
+        return G.Tree(np.where(inner, feature, -1).astype(np.int16), np.array(cut), np.array(left, np.int32), np.array(value), np.array(n_rows), np.zeros(len(value), np.int64))
+
+    leaves, splits = {0}, set()
+    while True:
+        unknown = [n for n in leaves if n not in known]
+        if not unknown:
+            node = max(leaves, key=lambda n: (known[n][0], -n))
+            if known[node][1] < 0 or (s.leaves and len(leaves) >= s.leaves):
+                break
+            ahead(node)
+            splits.add(node)
+            leaves = leaves - {node} | {children[node], children[node] + 1}
+            continue
+        room = (s.leaves or 1 << 30) - len(leaves)
+        for node in sorted((n for n in leaves if n in known and known[n][1] >= 0), key=lambda n: -known[n][0])[:max(room, 0)]:
+            ahead(node)
+        wanted = sorted({c for n, first in children.items() for c in (first, first + 1) if c not in known} | set(unknown))
+        for n, sums in node_sums(rows, arrays(set(children)), wanted, edges, cols).items():
+            known[n] = best(sums, n)
+    # only what was split stays, numbered as it was made
+    order = sorted(n for n in range(len(value)) if n in leaves or n in splits)
+    place = {n: i for i, n in enumerate(order)}
+    t, keep = arrays(splits), np.array(order)
+    hashes = np.full(len(order), root_hash, np.int64)
+    return G.Tree(t.feature[keep], t.cut[keep], np.array([place[left[n]] if n in splits else -1 for n in order], np.int32), t.value[keep], t.rows[keep], hashes)
+
+
+def leafwise_apart(frame: Frame, b: Boost) -> ForestModel:
+    """The rounds of a leaf-wise booster over more rows than a task takes:
+    trees by passes over the rows, margins as a column of a written table,
+    the trees (of a bounded number of leaves) on the driver."""
+    spark = frame.rows.sparkSession
+    folder = S.work_dir(spark, "boosted")
+    n_features = len(frame.features)
+    fit_part = F.col("part") == 0
+    edges = [np.unique(np.array([v for v in e if v is not None])) for e in quantile_edges(
+        frame.rows.filter(fit_part), [F.col("x")[f] for f in range(n_features)], [i / b.bins for i in range(1, b.bins)])]
+    own = F.when(F.col("y") == 1.0, F.lit(float(b.ones_weight))).otherwise(F.lit(1.0))
+    base = float(frame.rows.filter(fit_part).agg(F.sum(own * F.col("y")) / F.sum(own)).first()[0])
+    rows = frame.rows.withColumn("said", F.lit(base))
+    trees: list[list] = []
+    best, best_round, done = np.inf, 0, 0
+    draw = lambda key, what: F.expr(G.mixed_sql("row_hash", str(int(G.mixed(np.int64(key), np.int64(what)))))) / F.lit(float(G.P))
+    while done < b.rounds:
+        key = G.tree_hash(b.seed, done)
+        dropped = []
+        if b.sampling == "dart" and trees and uniform(np.array([key]), key, SKIP)[0] >= b.skip:
+            dropped = np.flatnonzero(uniform(np.arange(len(trees), dtype=np.int64), key, DROP) < b.drop)[:50].tolist()
+        said = F.col("said") - said_by([(trees[i][0], trees[i][1]) for i in dropped], n_features) if dropped else F.col("said")
+        fit = rows.filter(fit_part).select("x", "row_hash", own.alias("own"), (F.col("y") - said).alias("y"))
+        w = F.col("own")
+        if b.sampling == "rows" and b.subsample < 1:
+            w = F.when(draw(key, ROWS) < b.subsample, w).otherwise(0.0)
+        if b.sampling == "goss" and done >= int(1 / b.rate):
+            size = F.abs("y") * F.col("own")
+            top_n = max(1, int(b.top * frame.n_fit))
+            bound = quantile_edges(fit, [size], [(frame.n_fit - top_n + 1) / frame.n_fit])[0][0]
+            w = F.when(size >= bound, w).otherwise(F.when(draw(key, OTHERS) < b.other / (1 - b.top), w * (1 - b.top) / b.other).otherwise(0.0))
+        cols = tree_columns(key, n_features, b.columns)
+        tree = best_first_apart(fit.withColumn("w", w), edges, cols, b.settings, key)
+        k = len(dropped)
+        weight = b.rate / (k + b.rate) if k else b.rate
+        moves = [(tree, weight)]
+        for i in dropped:
+            less = trees[i][1] * k / (k + b.rate)
+            moves.append((trees[i][0], less - trees[i][1]))
+            trees[i][1] = less
+        trees.append([tree, weight])
+        rows.withColumn("said", F.col("said") + said_by(moves, n_features)).write.parquet(f"{folder}/rows/{done}")
+        rows = spark.read.parquet(f"{folder}/rows/{done}")
+        done += 1
+        now = watched(rows, b.watch)
+        if now is None or b.sampling == "dart":
+            best_round = done
+        elif now < best:
+            best, best_round = now, done
+        if b.patience and now is not None and done - best_round >= b.patience:
+            break
+    pieces = [piece_of(G.Tree(t.feature, t.cut, t.left, c * t.value, t.rows, t.hash), 0, 1, i) for i, (t, c) in enumerate(trees[:best_round])]
+    spark.createDataFrame(pa.Table.from_batches(pieces)).drop("trial").write.parquet(f"{folder}/trees")
+    return ForestModel.written(spark, folder, frame.features, "sum", base, {"rounds_fitted": done, "rounds_kept": best_round})
+
+
+def watched(rows: DataFrame, watch: str) -> float | None:
+    """The metric of the test rows, None without any."""
+    err = F.abs(F.col("y") - F.col("said")) / F.greatest(F.abs("y"), F.lit(MAPE_EPS)) if watch == "percentage" else F.pow(F.col("y") - F.col("said"), 2)
+    return rows.filter("part = 1").select(F.avg(err)).first()[0]
+
+
 def boost_apart(frame: Frame, b: Boost, every: int = 1) -> ForestModel:
     """The rounds of a booster over more rows than a task takes: a tree by the
     jobs of ``forests`` over the residuals, then the margins moved by it and
-    written. Sampling by gradient takes the share's bound from a quantile
-    summary of the residuals' sizes; earlier trees are not dropped here."""
-    if b.sampling == "dart" or b.bins:
-        raise NotImplementedError("dart and best-first trees need rows that fit a task")
+    written."""
+    if b.bins:
+        return leafwise_apart(frame, b)
     spark = frame.rows.sparkSession
     folder = S.work_dir(spark, "boosted")
-    base = frame.rows.filter("part = 0").select(F.avg("y")).first()[0]
-    rows = frame.rows.withColumn("said", F.lit(float(base)))
+    own = F.when(F.col("y") == 1.0, F.lit(float(b.ones_weight))).otherwise(F.lit(1.0))
+    base = frame.rows.filter("part = 0").select(F.sum(own * F.col("y")) / F.sum(own)).first()[0]
+    rows = frame.rows.withColumn("said", F.lit(float(base))).withColumn("w", own)
     best, best_round, done = np.inf, 0, 0
     while done < b.rounds:
         key = G.tree_hash(b.seed, done)
@@ -361,12 +535,11 @@ def boost_apart(frame: Frame, b: Boost, every: int = 1) -> ForestModel:
         grown_apart(own, plan, [(0, done, 1)]).drop("trial").withColumn("number", scaled).write.parquet(path)
         tree = ForestModel(spark.read.schema(PIECES).parquet(path), own.features, "sum")
         wide = rows.select("*", *[F.col("x")[int(c)].alias(frame.features[c]) for c in cols])
-        moved = tree.transform(wide).withColumn("said", F.col("said") + F.col("prediction")).select(*frame.rows.columns, "said")
+        moved = tree.transform(wide).withColumn("said", F.col("said") + F.col("prediction")).select(*rows.columns)
         moved.write.parquet(f"{folder}/rows/{done}")
         rows = spark.read.parquet(f"{folder}/rows/{done}")
         done += 1
-        err = F.abs(F.col("y") - F.col("said")) / F.greatest(F.abs("y"), F.lit(MAPE_EPS)) if b.watch == "percentage" else F.pow(F.col("y") - F.col("said"), 2)
-        now = rows.filter("part = 1").select(F.avg(err)).first()[0]
+        now = watched(rows, b.watch)
         if now is not None and now < best:
             best, best_round = now, done
         if now is None:
