@@ -162,7 +162,7 @@ def row_weights(b: Boost, done: int, key: int, hashes: np.ndarray, y: np.ndarray
         large = size >= np.partition(size, len(size) - max(1, int(b.top * len(size))))[len(size) - max(1, int(b.top * len(size)))]
         chosen = uniform(hashes, key, OTHERS) < b.other / (1 - b.top)
         w = np.where(large, w, np.where(chosen, w * (1 - b.top) / b.other, 0.0))
-    return w
+    return w if w.any() else np.ones(len(y))  # of a few rows none may be drawn
 
 
 class Rows:
