@@ -209,7 +209,7 @@ def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 class TrackingStore:
     """Append-only run log on shared storage."""
 
-    TABLES = {"experiments": EXPERIMENTS, "runs": RUNS, "run_params": PARAMS,
+    TABLES = {"experiments": EXPERIMENTS, "runs": RUNS, "run_starts": RUNS, "run_params": PARAMS,
               "run_metrics": METRICS, "run_artifacts": ARTIFACTS}
 
     def __init__(self, spark: SparkSession, root: str):
@@ -226,6 +226,10 @@ class TrackingStore:
         if rows:
             append_rows(self.spark.createDataFrame(rows, self.TABLES[name]), self.path(name))
 
+    def running(self) -> DataFrame:
+        """Runs that were started and have not ended (or whose process is gone)."""
+        return self.table("run_starts").join(self.table("runs").select("run_id"), "run_id", "left_anti").select(*[f.name for f in RUNS.fields])
+
     def create_experiment(self, name: str) -> int:
         eid = experiment_id_for(name)
         if self.table("experiments").filter(F.col("experiment_id") == eid).limit(1).count() == 0:
@@ -234,10 +238,11 @@ class TrackingStore:
 
     @contextmanager
     def start_run(self, experiment: str, run_name: str):
-        """H1: a run; its rows are appended once, when it ends, with status
-        FINISHED, or FAILED if the block raised."""
+        """H1: a run. Its start is appended at once (see :func:`running`), its
+        rows when it ends, with status FINISHED, or FAILED if the block raised."""
         eid = self.create_experiment(experiment)
         run = Run(self, uuid.uuid4().hex, eid, run_name)
+        self.append("run_starts", [(run.run_id, eid, run_name, run.status, run.start_time, None)])
         try:
             yield run
             run.status = "FINISHED"

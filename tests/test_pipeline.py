@@ -53,7 +53,10 @@ def test_failed_run_is_recorded(spark, tmp_path):
     except RuntimeError:
         pass
     row = store.table("runs").first()
-    assert row["status"] == "FAILED"
+    assert row["status"] == "FAILED" and store.running().isEmpty()
+    with store.start_run("e", "now") as r:
+        assert [(x["run_id"], x["status"], x["end_time"]) for x in store.running().collect()] == [(r.run_id, "RUNNING", None)]
+    assert store.running().isEmpty() and store.table("runs").count() == 2
     assert store.table("run_params").count() == 1
 
 
