@@ -274,7 +274,7 @@ def boosters(frame: Frame, plans: dict[int, Boost], states: DataFrame | None = N
     while not live.isEmpty():
         out = f"{folder}/{segment}"
         n = max(1, live.count())
-        live.repartition(n, "trial").mapInArrow(run, f"{STATE}, {PIECES}").write.parquet(out)
+        live.repartitionByRange(n, "trial").mapInArrow(run, f"{STATE}, {PIECES}").write.parquet(out)
         found = spark.read.parquet(out)
         if nodes:
             found.filter("tree is not null").drop(*STATE_NAMES[1:]).write.parquet(f"{nodes}/segment={segment}")
