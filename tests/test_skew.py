@@ -60,3 +60,23 @@ def test_grouped_metrics_and_best_trial_are_partial(hot):
     trials = hot.select(F.col("k").cast("string").alias("family"), F.col("ts").alias("trial_id"),
                         F.col("y").alias("loss"), F.lit("ok").alias("status"))
     _assert_partial_no_window(SR.best_trial(trials), "partial_min")
+
+
+def test_suggested_ranges_spread_a_hot_range(spark):
+    """All trials of one range: they meet its points in many groups, and the densities are those of plain loops."""
+    import math
+
+    from keelson.operators import search as SR
+
+    rows = [("f", i, float((i * 37) % 101), "p", float((i * 13) % 50) + 0.5) for i in range(400)]
+    trials = spark.createDataFrame(rows, "family string, trial_id long, loss double, param string, value double")
+    ranges = spark.createDataFrame([("f", "p", 0.0, 51.0)], "family string, param string, low double, high double")
+    out = SR.suggest_ranges(trials, ranges, candidates=5)
+    assert "dealt" in out._jdf.queryExecution().analyzed().toString()
+    got = out.first()
+    best = {t for _, t in sorted((loss, t) for _, t, loss, _, _ in rows)[:100]}
+    cdf = lambda z: 0.5 * math.erfc(-z / math.sqrt(2))
+    for column, side in (("good_density", [r[4] for r in rows if r[1] in best]), ("bad_density", [r[4] for r in rows if r[1] not in best])):
+        sigma = 51.0 / 4 * (len(side) + 1) ** -0.2
+        each = [math.exp(-0.5 * ((got["value"] - m) / sigma) ** 2) / (math.sqrt(2 * math.pi) * sigma) / (cdf((51 - m) / sigma) - cdf(-m / sigma)) for m in side]
+        assert math.isclose(got[column], (1 / 51 + sum(each)) / (len(side) + 1), rel_tol=1e-4)
