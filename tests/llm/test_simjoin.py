@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from helpers import awkward, docs_of, words
@@ -62,6 +63,17 @@ def test_against_brute_force(spark, limits):
     assert sorted(map(tuple, got.collect()), key=str) == brute(docs, limits.get("percent", 90))
 
 
+@pytest.mark.parametrize("flush", [2_000_000, 50])
+def test_shingles_are_counted_over_all_rows(spark, flush):
+    """The counts that decide the order are those of every row, however many blocks they come in."""
+    docs, own = cases(), simjoin.Shingles()
+    times = Counter(h for _, t in docs for h in own.of((t or "").encode()).tolist())
+    for long_list, longest in ((4, 500_000), (2, 500_000), (4, 0)):
+        found, n = simjoin.frequent(docs_of(spark, docs), 3, long_list, longest, flush)
+        assert dict(zip(found.tolist(), n.tolist())) == ({h: c for h, c in times.items() if c > long_list} if longest else {})
+        assert (found[1:] > found[:-1]).all()
+
+
 def test_a_shared_passage_makes_no_pairs(spark, monkeypatch):
     """Texts that share nine tenths, but not enough for a link, never meet in the last join."""
     rng = random.Random(60)
