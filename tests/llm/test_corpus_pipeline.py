@@ -1,12 +1,16 @@
 """The corpus pipeline, every stage on its own input against brute force."""
 
 import importlib
+import random
+from collections import Counter
 
 import pytest
 from test_decontaminate import lowered
 from test_secrets import brute as secret_spans
 from test_simjoin import brute as component_rows
 
+from keelson.llm import simjoin
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -36,6 +40,26 @@ def test_one_document_of_each_group_stays(stages):
     assert sorted(r["doc_id"] for r in stages["near_copies"].collect()) == sorted(firsts)
 
 
+def test_near_copies_count_the_shingles_of_every_row(spark, monkeypatch):
+    cp = importlib.import_module("corpus_pipeline")
+    from helpers import awkward, docs_of, words
+
+    rng = random.Random(13)
+    passage = words(rng, 30)
+    docs = awkward() + [(100 + k, f"{passage} {words(rng, 20)}") for k in range(30)]
+    found, frequent = [], simjoin.frequent
+
+    def seen(*args):
+        found.append(frequent(*args))
+        return found[-1]
+
+    monkeypatch.setattr(simjoin, "frequent", seen)
+    cp.drop_near_copies(spark, docs_of(spark, docs), SF).count()
+    own = simjoin.Shingles(cp.NEAR_WORDS)
+    times = Counter(h for _, t in docs for h in own.of((t or "").encode()).tolist())
+    assert [dict(zip(s.tolist(), n.tolist())) for s, n in found] == [{h: c for h, c in times.items() if c > 4}]
+
+
 def test_benchmark_windows_are_gone_and_clean_texts_stay(spark, stages):
     grams = set()
     for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
